@@ -41,6 +41,39 @@ def _combine(how: str, before: Column, inside: Column) -> Column:
     return F.greatest(before, inside)  # greatest skips NULLs
 
 
+def _scan(rows: DataFrame, keys: list[str], time_col: str, measures: Mapping[str, str],
+          carry: Sequence[str], bucket_seconds: int) -> DataFrame:
+    """Two-level running aggregate over ``rows`` (events ``_rank`` 1, probes 0/2).
+
+    Returns the probe rows with each measure aggregated over the events of
+    the same keys that sort before them (time, then ``_rank``).
+    """
+    names = list(measures)
+    rows = rows.withColumn(
+        "_bucket", F.floor(epoch_seconds(time_col) / F.lit(bucket_seconds)).cast("long")
+    )
+    # within a bucket: 'lo' probes sort before the events of their second, 'hi' after
+    inside = Window.partitionBy(*keys, "_bucket").orderBy(time_col, "_rank").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    scanned = rows.select(
+        *keys, time_col, "_rank", "_bucket", *carry,
+        *[F.col(m) for m in names],
+        *[_AGG[measures[m]](m).over(inside).alias(f"_in_{m}") for m in names],
+    )
+    # across buckets: totals of the strictly earlier buckets of the key
+    totals = scanned.groupBy(*keys, "_bucket").agg(*[_AGG[measures[m]](m).alias(m) for m in names])
+    earlier = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    before = totals.select(
+        *keys, "_bucket", *[_AGG[measures[m]](m).over(earlier).alias(f"_pre_{m}") for m in names]
+    )
+    hits = scanned.filter(F.col("_rank") != 1).join(before, [*keys, "_bucket"])
+    return hits.select(
+        *keys, time_col, "_rank", *carry,
+        *[_combine(measures[m], F.col(f"_pre_{m}"), F.col(f"_in_{m}")).alias(m) for m in names],
+    )
+
+
 def prefix_at(
     events: DataFrame,
     probes: DataFrame,
@@ -72,44 +105,21 @@ def prefix_at(
     types = {f.name: f.dataType for f in ev.schema.fields}
     pr = (
         probes.filter(F.col(time_col).isNotNull())
-        .select(*keys, time_col, side_col)
+        .select(*keys, time_col, F.when(F.col(side_col) == "lo", F.lit(0)).otherwise(F.lit(2)).alias("_rank"))
         .distinct()
-        .select(
-            *keys,
-            time_col,
-            F.when(F.col(side_col) == "lo", F.lit(0)).otherwise(F.lit(2)).alias("_rank"),
-            *[F.lit(None).cast(types[m]).alias(m) for m in names],
-        )
+        .select(*keys, time_col, "_rank", *[F.lit(None).cast(types[m]).alias(m) for m in names])
     )
-    rows = ev.unionByName(pr).withColumn(
-        "_bucket", F.floor(epoch_seconds(time_col) / F.lit(bucket_seconds)).cast("long")
-    )
-    # within a bucket: 'lo' probes sort before the events of their second, 'hi' after
-    inside = Window.partitionBy(*keys, "_bucket").orderBy(time_col, "_rank").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    scanned = rows.select(
-        *keys, time_col, "_rank", "_bucket",
-        *[F.col(m) for m in names],
-        *[_AGG[measures[m]](m).over(inside).alias(f"_in_{m}") for m in names],
-    )
-    # across buckets: totals of the strictly earlier buckets of the key
-    totals = scanned.groupBy(*keys, "_bucket").agg(*[_AGG[measures[m]](m).alias(m) for m in names])
-    earlier = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    before = totals.select(
-        *keys, "_bucket", *[_AGG[measures[m]](m).over(earlier).alias(f"_pre_{m}") for m in names]
-    )
-    hits = scanned.filter(F.col("_rank") != 1).join(before, [*keys, "_bucket"])
+    hits = _scan(ev.unionByName(pr), keys, time_col, measures, [], bucket_seconds)
     return hits.select(
-        *keys,
-        time_col,
+        *keys, time_col,
         F.when(F.col("_rank") == 0, F.lit("lo")).otherwise(F.lit("hi")).alias(side_col),
-        *[_combine(measures[m], F.col(f"_pre_{m}"), F.col(f"_in_{m}")).alias(m) for m in names],
+        *names,
     )
 
 
 def previous_time(
-    df: DataFrame, partition: Sequence[str], time_col: str, tiebreak: Sequence[str], out: str = "prev_ts"
+    df: DataFrame, partition: Sequence[str], time_col: str, tiebreak: Sequence[str], out: str = "prev_ts",
+    bucket_seconds: int = DAY,
 ) -> DataFrame:
     """``LAG(time) OVER (PARTITION BY partition ORDER BY time, *tiebreak)`` as a column ``out``.
 
@@ -117,18 +127,25 @@ def previous_time(
     time value takes the latest earlier time of its partition; the other rows of
     the same time take that time itself.  Rows with a NULL time get NULL, and
     so does the first row after them, as with NULLS FIRST ordering.
+
+    No window spans a whole partition: the distinct times of a partition are
+    each an event and a strictly-before probe of one two-level running max.
     """
     partition = list(partition)
-    timed = df.filter(F.col(time_col).isNotNull())
-    firsts = timed.groupBy(*partition, time_col).agg(F.min(F.struct(*tiebreak)).alias("_first"))
-    prev = prefix_at(
-        events=firsts.select(*partition, time_col, F.col(time_col).alias("_prev")),
-        probes=firsts.select(*partition, time_col, F.lit("lo").alias("side")),
-        keys=partition,
-        time_col=time_col,
-        measures={"_prev": "max"},
-    ).drop("side")
-    info = firsts.join(prev, [*partition, time_col])
+    firsts = (
+        df.filter(F.col(time_col).isNotNull())
+        .groupBy(*partition, time_col)
+        .agg(F.min(F.struct(*tiebreak)).alias("_first"))
+    )
+    # each distinct time is an event (rank 1, value = time) and a probe (rank 0)
+    both = firsts.select(
+        *partition, time_col, "_first",
+        F.explode(F.array(
+            F.struct(F.lit(1).alias("_rank"), F.col(time_col).alias("_prev")),
+            F.struct(F.lit(0).alias("_rank"), F.lit(None).cast(df.schema[time_col].dataType).alias("_prev")),
+        )).alias("_e"),
+    ).select(*partition, time_col, "_first", "_e._rank", "_e._prev")
+    info = _scan(both, partition, time_col, {"_prev": "max"}, ["_first"], bucket_seconds).drop("_rank")
     joined = df.join(info, [*partition, time_col], "left")
     is_first = F.struct(*[F.col(c) for c in tiebreak]) == F.col("_first")
     return joined.select(
@@ -156,9 +173,13 @@ def interval_sums(
     the probe results with many-to-one equi-joins (AQE splits a skewed side).
     """
     keys = list(keys)
-    probes = intervals.select(*keys, F.col(lo).alias(time_col), F.lit("lo").alias("side")).unionByName(
-        intervals.select(*keys, F.col(hi).alias(time_col), F.lit("hi").alias("side"))
-    )
+    probes = intervals.select(
+        *keys,
+        F.explode(F.array(
+            F.struct(F.col(lo).alias(time_col), F.lit("lo").alias("side")),
+            F.struct(F.col(hi).alias(time_col), F.lit("hi").alias("side")),
+        )).alias("_p"),
+    ).select(*keys, f"_p.{time_col}", "_p.side")
     pre = prefix_at(events, probes, keys, time_col, {m: "sum" for m in measures})
     at_lo = pre.filter(F.col("side") == "lo").select(
         *keys, F.col(time_col).alias(lo), *[F.col(m).alias(f"_lo_{m}") for m in measures]
