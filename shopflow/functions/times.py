@@ -1,9 +1,12 @@
 """Time handling: wire epochs, zone shift, truncation, recency.
 
 Event times are stored as ``TIMESTAMP_NTZ`` wall-clock readings in a zone chosen
-by the caller (the reference fixes Asia/Bangkok).  Every function here is
-independent of ``spark.sql.session.timeZone``; the reference time of recency
-columns is an explicit ``as_of`` argument instead of a hidden
+by the caller (the reference fixes Asia/Bangkok).  Conversions (epoch, zone
+shift, truncation) do not depend on ``spark.sql.session.timeZone``; the
+calendar-unit differences of :func:`elapsed` follow Spark's ``timestampdiff``,
+which reads NTZ values in the session zone, so sessions run in UTC
+(``shopflow.session`` sets it) to keep every day 24 hours long.  The reference
+time of recency columns is an explicit ``as_of`` argument instead of a hidden
 ``current_timestamp()`` frozen into a snapshot.
 """
 
@@ -60,8 +63,8 @@ def as_of_column(as_of: AsOf = None, zone: str = "UTC") -> Column:
 def epoch_seconds(col: str | Column) -> Column:
     """Whole seconds since 1970-01-01 of an NTZ wall-clock value (floor)."""
     c = _c(col)
-    secs = F.timestamp_diff("SECOND", epoch_ntz(), c)
-    # timestamp_diff truncates toward zero; step back for fractional pre-epoch values
+    secs = F.unix_timestamp(c)  # NTZ input: read as UTC, no session zone involved
+    # unix_timestamp truncates toward zero; step back for fractional pre-epoch values
     return F.when(F.timestamp_add("SECOND", secs, epoch_ntz()) > c, secs - 1).otherwise(secs)
 
 

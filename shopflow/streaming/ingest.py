@@ -9,6 +9,7 @@ a batch over the same messages give the same rows (up to the arrival stamp).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shopflow.functions.columns import payload_columns
@@ -38,7 +39,8 @@ def bronze_stream(messages: DataFrame, table: str, zone: str = REFERENCE_ZONE, m
     df = normalise_ts(parse(messages, table, drop_malformed), table, zone)
     df = stamp_arrival(df, table, "processing").drop("_sent")
     event_col = "ts" if table in EVENT_TABLES else "arrive_dt"
-    df = df.withWatermark(event_col, watermark)
+    # watermarks need a TIMESTAMP column; the NTZ reading is only used for ordering
+    df = df.withColumn("_event_time", F.col(event_col).cast("timestamp")).withWatermark("_event_time", watermark)
     if table == "shoe_orders":
         df = df.dropDuplicatesWithinWatermark(["order_id"])
     columns = BRONZE[table].fieldNames()
