@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopflow.functions.times import ntz_literal, truncate_to_second
-from shopflow.operators.joins import bounded_broadcast
+from shopflow.operators.joins import dimension
 
 #: fixed values of the mapping
 PRODUCTS = 20
@@ -77,14 +77,14 @@ def shoes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``customers`` from ``customer`` + ``nation`` + ``region``."""
-    # nation and region are fixed-size code lists; the helper still checks the bound
+    # nation and region are small code lists: left to the size-based join choice
     geo = table(spark, sf_dir, "nation").join(
-        bounded_broadcast(table(spark, sf_dir, "region")),
+        dimension(table(spark, sf_dir, "region")),
         F.col("n_regionkey") == F.col("r_regionkey"),
         "left",
     )
     c = table(spark, sf_dir, "customer").join(
-        bounded_broadcast(geo), F.col("c_nationkey") == F.col("n_nationkey"), "left"
+        dimension(geo), F.col("c_nationkey") == F.col("n_nationkey"), "left"
     )
     cid = F.col("c_custkey").cast("string")
     none = F.lit(None).cast("string")

@@ -1,10 +1,16 @@
 """Join helpers.
 
-Broadcasting is only ever done behind a proven row bound: the side is counted
-up to ``max_rows + 1`` rows first (a cheap, early-stopping job).  Above the
-bound the plain DataFrame is returned and Spark plans a shuffle join; AQE may
-still switch it to a broadcast when the measured shuffle output is small, and
-splits skewed partitions of the large side.
+No join side is ever broadcast unconditionally.  Two size checks exist:
+
+* default (``dimension(df)``): no hint.  Spark broadcasts a side only when its
+  estimated size is under ``spark.sql.autoBroadcastJoinThreshold``, and AQE
+  decides again from the *measured* shuffle output
+  (``spark.sql.adaptive.autoBroadcastJoinThreshold``); otherwise it plans a
+  sort-merge join and AQE splits skewed partitions of the large side.  No
+  extra job.
+* ``bounded_broadcast(df, max_rows)``: an explicit proof for sides whose size
+  the planner cannot estimate -- the side is counted up to ``max_rows + 1``
+  rows (an early-stopping job) and hinted only when within the bound.
 """
 
 from __future__ import annotations
@@ -22,6 +28,12 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS)
     return F.broadcast(df) if n <= max_rows else df
 
 
+def dimension(df: DataFrame, max_rows: int | None = None) -> DataFrame:
+    """A dimension side of a join: Spark's size-based choice by default, or an
+    explicit row-bound proof when ``max_rows`` is given."""
+    return df if max_rows is None else bounded_broadcast(df, max_rows)
+
+
 def key_multiplicity(df: DataFrame, key: str, alias: str = "mult") -> DataFrame:
     """Rows per key of a dimension: joining this instead of the dimension keeps
     fact counts exact when keys repeat, while shuffling one narrow row per key."""

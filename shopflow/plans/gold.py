@@ -28,7 +28,7 @@ from shopflow.functions.times import (
     within_days,
 )
 from shopflow.operators.interval import interval_sums, previous_time
-from shopflow.operators.joins import bounded_broadcast, key_multiplicity
+from shopflow.operators.joins import dimension, key_multiplicity
 from shopflow.operators.ranking import top_n_columns
 
 CUSTOMER_PROFILE = (
@@ -47,7 +47,7 @@ def intent_history(history: DataFrame, orders: DataFrame, shoes: DataFrame) -> D
     """``cust_intent_history``: per (user, shoe, brand) the average and total
     view time and the clicks (clicks of unknown products dropped), plus the
     number of times the user bought the shoe (0 when never)."""
-    s = bounded_broadcast(shoes.select("id", "brand"))
+    s = dimension(shoes.select("id", "brand"))
     per_pair = history.groupBy("user_id", "product_id").agg(
         F.sum("view_time").alias("_tv"), F.count("view_time").alias("_nv"), _count().alias("_n")
     )
@@ -56,7 +56,7 @@ def intent_history(history: DataFrame, orders: DataFrame, shoes: DataFrame) -> D
         .groupBy("user_id", F.col("id").alias("shoes_id"), "brand")
         .agg(F.sum("_tv").alias("_tv"), F.sum("_nv").alias("_nv"), F.sum("_n").alias("_n"))
     )
-    mult = bounded_broadcast(key_multiplicity(shoes, "id"))
+    mult = dimension(key_multiplicity(shoes, "id"))
     bought = (
         orders.groupBy("customer_id", "product_id").agg(_count().alias("_b"))
         .join(mult, F.col("product_id") == F.col("id"))
@@ -110,7 +110,7 @@ def interest_profile(history: DataFrame, intent: DataFrame) -> DataFrame:
 def top_sellers(orders: DataFrame, shoes: DataFrame) -> DataFrame:
     """``top_sell_product``: orders per shoe; orders of unknown shoes dropped."""
     per_product = orders.groupBy("product_id").agg(_count().alias("_n"))
-    s = bounded_broadcast(shoes)
+    s = dimension(shoes)
     return (
         per_product.join(s, per_product["product_id"] == s["id"])
         .groupBy(F.col("product_id").alias("shoes_id"), "brand", "sale_price", "rating")
@@ -132,7 +132,7 @@ def top_sellers_all_time(orders: DataFrame, customers: DataFrame, shoes: DataFra
         "product_id", (F.col("_n") * F.coalesce(F.col("mult"), F.lit(1))).alias("_w")
     )
     per_product = weighted.groupBy("product_id").agg(F.sum("_w").alias("_w"))
-    s = bounded_broadcast(shoes)
+    s = dimension(shoes)
     return (
         per_product.join(s, per_product["product_id"] == s["id"], "left")
         .groupBy(F.col("id").alias("shoes_id"), "brand", "name", "sale_price", "rating")

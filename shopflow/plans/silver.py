@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from shopflow.functions.columns import prefixed_columns
 from shopflow.functions.times import AsOf, as_of_column, month_key, recency_columns
-from shopflow.operators.joins import bounded_broadcast
+from shopflow.operators.joins import dimension
 
 
 def click_history_v1(clicks: DataFrame, as_of: AsOf = None) -> DataFrame:
@@ -27,7 +27,7 @@ def click_history_v2(clicks: DataFrame, shoes: DataFrame, as_of: AsOf = None) ->
     prefix, plus the recency columns."""
     ref = as_of_column(as_of)
     cs = clicks.alias("cs")
-    s = bounded_broadcast(shoes).alias("s")
+    s = dimension(shoes).alias("s")
     cols = prefixed_columns("cs", clicks.columns, "shoe_clickstream", exclude=["arrive_dt"]) + prefixed_columns(
         "s", shoes.columns, "shoes", exclude=["arrive_dt"]
     )
@@ -38,11 +38,13 @@ def click_history_v2(clicks: DataFrame, shoes: DataFrame, as_of: AsOf = None) ->
 def _star(orders: DataFrame, customers: DataFrame, shoes: DataFrame) -> DataFrame:
     """orders LEFT JOIN customers LEFT JOIN shoes (unmatched dimensions -> NULLs).
 
-    ``shoes`` is broadcast behind a row bound; ``customers`` grows with the
-    business, so it is left to Spark (sort-merge join on customer id, with AQE
-    splitting a hot customer's partition of the orders side).
+    Both dimensions go through Spark's size-based join choice: the shoe
+    catalogue is small and gets broadcast; ``customers`` grows with the
+    business and, once over the threshold, becomes a sort-merge join on
+    customer id, with AQE splitting a hot customer's partition of the orders
+    side.
     """
-    so, cs, c = orders.alias("so"), customers.alias("cs"), bounded_broadcast(shoes).alias("c")
+    so, cs, c = orders.alias("so"), customers.alias("cs"), dimension(shoes).alias("c")
     return so.join(cs, F.col("so.customer_id") == F.col("cs.id"), "left").join(
         c, F.col("so.product_id") == F.col("c.id"), "left"
     )
