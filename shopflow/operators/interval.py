@@ -53,19 +53,21 @@ def _scan(rows: DataFrame, keys: list[str], time_col: str, measures: Mapping[str
         "_bucket", F.floor(epoch_seconds(time_col) / F.lit(bucket_seconds)).cast("long")
     )
     # within a bucket: 'lo' probes sort before the events of their second, 'hi' after
-    inside = Window.partitionBy(*keys, "_bucket").orderBy(time_col, "_rank").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
+    ordered = Window.partitionBy(*keys, "_bucket").orderBy(time_col, "_rank")
+    running = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    # one window operator yields the running values, the bucket totals and a
+    # last-row marker, so both branches below read the same shuffle
     scanned = rows.select(
         *keys, time_col, "_rank", "_bucket", *carry,
-        *[F.col(m) for m in names],
-        *[_AGG[measures[m]](m).over(inside).alias(f"_in_{m}") for m in names],
+        *[_AGG[measures[m]](m).over(running).alias(f"_in_{m}") for m in names],
+        *[_AGG[measures[m]](m).over(whole).alias(f"_tot_{m}") for m in names],
+        F.lead(F.lit(1)).over(ordered).isNull().alias("_last"),
     )
     # across buckets: totals of the strictly earlier buckets of the key
-    totals = scanned.groupBy(*keys, "_bucket").agg(*[_AGG[measures[m]](m).alias(m) for m in names])
     earlier = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    before = totals.select(
-        *keys, "_bucket", *[_AGG[measures[m]](m).over(earlier).alias(f"_pre_{m}") for m in names]
+    before = scanned.filter(F.col("_last")).select(
+        *keys, "_bucket", *[_AGG[measures[m]](f"_tot_{m}").over(earlier).alias(f"_pre_{m}") for m in names]
     )
     hits = scanned.filter(F.col("_rank") != 1).join(before, [*keys, "_bucket"])
     return hits.select(

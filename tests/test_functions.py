@@ -73,3 +73,12 @@ def test_catalog(spark, scratch):
     assert cols == ["order_id", "product_id", "customer_id", "ts", "arrive_dt"]
     df = spark.createDataFrame([(1,)], "x int")
     assert snapshot(df, "shopflow_t.snap").count() == 1
+
+
+def test_persistent_view(spark, scratch):
+    from shopflow.sources.catalog import persistent_view
+
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS shopflow_v LOCATION '{scratch}/dbv'")
+    snapshot(spark.createDataFrame([(1, "a"), (2, "a")], "x int, b string"), "shopflow_v.base")
+    v = persistent_view(spark, "shopflow_v.per_b", "SELECT b, count(*) AS n FROM shopflow_v.base GROUP BY b")
+    assert [(r.b, r.n) for r in v.collect()] == [("a", 2)]

@@ -61,3 +61,12 @@ def test_memory_preview_and_stop_all(spark, scratch):
     assert spark.table("shoes_preview").count() > 0
     assert stop_all(spark) >= 1
     assert not spark.streams.active
+
+
+def test_streaming_temp_view(spark, scratch):
+    from shopflow.sources.catalog import view
+
+    src = os.path.join(scratch, "src")
+    write_messages(fx.wire(spark, SF_SMALL, "shoes"), src)
+    v = view(bronze(read_messages(spark, src), "shoes"), "stream_data_shoes_view")
+    assert v.isStreaming and spark.table("stream_data_shoes_view").isStreaming
