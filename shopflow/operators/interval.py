@@ -42,13 +42,16 @@ def _combine(how: str, before: Column, inside: Column) -> Column:
 
 
 def _scan(rows: DataFrame, keys: list[str], time_col: str, measures: Mapping[str, str],
-          carry: Sequence[str], bucket_seconds: int) -> DataFrame:
+          carry: Sequence[str], bucket_seconds: int, key_total: str | None = None) -> DataFrame:
     """Two-level running aggregate over ``rows`` (events ``_rank`` 1, probes 0/2).
 
     Returns the probe rows with each measure aggregated over the events of
-    the same keys that sort before them (time, then ``_rank``).
+    the same keys that sort before them (time, then ``_rank``), and with
+    ``key_total`` (when given) = the sum of the events' ``_cnt`` over all
+    times of the key, events with a NULL time included.
     """
     names = list(measures)
+    totals = names + (["_cnt"] if key_total else [])
     rows = rows.withColumn(
         "_bucket", F.floor(epoch_seconds(time_col) / F.lit(bucket_seconds)).cast("long")
     )
@@ -61,18 +64,25 @@ def _scan(rows: DataFrame, keys: list[str], time_col: str, measures: Mapping[str
     scanned = rows.select(
         *keys, time_col, "_rank", "_bucket", *carry,
         *[_AGG[measures[m]](m).over(running).alias(f"_in_{m}") for m in names],
-        *[_AGG[measures[m]](m).over(whole).alias(f"_tot_{m}") for m in names],
+        *[_AGG[measures.get(m, "sum")](m).over(whole).alias(f"_tot_{m}") for m in totals],
         F.lead(F.lit(1)).over(ordered).isNull().alias("_last"),
     )
-    # across buckets: totals of the strictly earlier buckets of the key
-    earlier = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    # across buckets: totals of the strictly earlier buckets of the key (events
+    # without a time sit in a NULL bucket that only counts toward key_total)
+    by_bucket = Window.partitionBy(*keys).orderBy("_bucket")
+    earlier = by_bucket.rowsBetween(Window.unboundedPreceding, -1)
+    everything = by_bucket.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    timed = F.col("_bucket").isNotNull()
     before = scanned.filter(F.col("_last")).select(
-        *keys, "_bucket", *[_AGG[measures[m]](f"_tot_{m}").over(earlier).alias(f"_pre_{m}") for m in names]
+        *keys, "_bucket",
+        *[_AGG[measures[m]](F.when(timed, F.col(f"_tot_{m}"))).over(earlier).alias(f"_pre_{m}") for m in names],
+        *([F.sum("_tot__cnt").over(everything).alias(key_total)] if key_total else []),
     )
     hits = scanned.filter(F.col("_rank") != 1).join(before, [*keys, "_bucket"])
     return hits.select(
         *keys, time_col, "_rank", *carry,
         *[_combine(measures[m], F.col(f"_pre_{m}"), F.col(f"_in_{m}")).alias(m) for m in names],
+        *([key_total] if key_total else []),
     )
 
 
@@ -84,6 +94,7 @@ def prefix_at(
     measures: Mapping[str, str],
     side_col: str = "side",
     bucket_seconds: int = DAY,
+    key_total: str | None = None,
 ) -> DataFrame:
     """Aggregates of ``events`` before each probe point.
 
@@ -92,16 +103,17 @@ def prefix_at(
     ``'lo'`` (strictly before the probe time) or ``'hi'`` (up to and including
     it).  ``measures`` maps a column to ``'sum'`` (0 when nothing is before)
     or ``'max'`` (NULL when nothing is before).  Events or probes with a NULL
-    time take no part.
+    time take no part -- except in ``key_total``, which (when named) is added
+    as the number of event rows of the probe's keys at any time.
 
     Returns one row per distinct probe: ``keys, time_col, side_col, *measures``.
     """
     keys = list(keys)
     names = list(measures)
+    src = events if key_total else events.filter(F.col(time_col).isNotNull())
     ev = (
-        events.filter(F.col(time_col).isNotNull())
-        .groupBy(*keys, time_col)
-        .agg(*[_AGG[measures[m]](m).alias(m) for m in names])
+        src.groupBy(*keys, time_col)
+        .agg(*[_AGG[measures[m]](m).alias(m) for m in names], *([F.count(F.lit(1)).alias("_cnt")] if key_total else []))
         .withColumn("_rank", F.lit(1))
     )
     types = {f.name: f.dataType for f in ev.schema.fields}
@@ -109,13 +121,17 @@ def prefix_at(
         probes.filter(F.col(time_col).isNotNull())
         .select(*keys, time_col, F.when(F.col(side_col) == "lo", F.lit(0)).otherwise(F.lit(2)).alias("_rank"))
         .distinct()
-        .select(*keys, time_col, "_rank", *[F.lit(None).cast(types[m]).alias(m) for m in names])
+        .select(
+            *keys, time_col, "_rank",
+            *[F.lit(None).cast(types[m]).alias(m) for m in names + (["_cnt"] if key_total else [])],
+        )
     )
-    hits = _scan(ev.unionByName(pr), keys, time_col, measures, [], bucket_seconds)
+    hits = _scan(ev.unionByName(pr), keys, time_col, measures, [], bucket_seconds, key_total)
     return hits.select(
         *keys, time_col,
         F.when(F.col("_rank") == 0, F.lit("lo")).otherwise(F.lit("hi")).alias(side_col),
         *names,
+        *([key_total] if key_total else []),
     )
 
 
@@ -159,7 +175,7 @@ def previous_time(
     )
 
 
-def interval_sums(
+def signed_interval_sums(
     intervals: DataFrame,
     events: DataFrame,
     keys: Sequence[str],
@@ -167,34 +183,61 @@ def interval_sums(
     hi: str,
     time_col: str,
     measures: Sequence[str],
+    key_total: str | None = None,
 ) -> DataFrame:
-    """Add to every interval row the sums of ``measures`` over the events of
-    the same ``keys`` with ``lo <= time <= hi`` (0 when a bound is NULL).
-
-    ``intervals`` may hold many rows per key and per bound; they are matched to
-    the probe results with many-to-one equi-joins (AQE splits a skewed side).
+    """Two signed rows per interval whose sum is the interval's total.
+
+    For every interval row: a ``'hi'`` row with the sums of ``measures`` over
+    the events of the same ``keys`` up to ``hi`` and a ``'lo'`` row with minus
+    the sums strictly before ``lo``; both are 0 when a bound is NULL.  Summed
+    over any grouping made of whole intervals, they give the sums over
+    ``lo <= time <= hi``.  ``key_total`` (when named) is carried on the
+    ``'lo'`` row only: the number of event rows of the keys at any time.
+
+    Probe points are de-duplicated before the scan, so a hot key costs at
+    most one probe per (key, second, side); the rows come back through one
+    many-to-one equi-join (AQE splits a skewed side).
     """
     keys = list(keys)
-    probes = intervals.select(
-        *keys,
+    sides = intervals.select(
+        *intervals.columns,
         F.explode(F.array(
-            F.struct(F.col(lo).alias(time_col), F.lit("lo").alias("side")),
-            F.struct(F.col(hi).alias(time_col), F.lit("hi").alias("side")),
+            F.struct(F.col(lo).alias("_pt"), F.lit("lo").alias("_side")),
+            F.struct(F.col(hi).alias("_pt"), F.lit("hi").alias("_side")),
         )).alias("_p"),
-    ).select(*keys, f"_p.{time_col}", "_p.side")
-    pre = prefix_at(events, probes, keys, time_col, {m: "sum" for m in measures})
-    at_lo = pre.filter(F.col("side") == "lo").select(
-        *keys, F.col(time_col).alias(lo), *[F.col(m).alias(f"_lo_{m}") for m in measures]
-    )
-    at_hi = pre.filter(F.col("side") == "hi").select(
-        *keys, F.col(time_col).alias(hi), *[F.col(m).alias(f"_hi_{m}") for m in measures]
+    ).select(*intervals.columns, "_p._pt", "_p._side")
+    probes = sides.select(*keys, F.col("_pt").alias(time_col), F.col("_side").alias("side"))
+    pre = prefix_at(events, probes, keys, time_col, {m: "sum" for m in measures}, key_total=key_total)
+    pre = pre.select(
+        *keys, F.col(time_col).alias("_pt"), F.col("side").alias("_side"),
+        *[F.col(m).alias(f"_v_{m}") for m in measures], *([key_total] if key_total else []),
     )
-    both = intervals.join(at_lo, [*keys, lo], "left").join(at_hi, [*keys, hi], "left")
+    joined = sides.join(pre, [*keys, "_pt", "_side"], "left")
     bounded = F.col(lo).isNotNull() & F.col(hi).isNotNull()
-    return both.select(
-        *intervals.columns,
-        *[
-            F.when(bounded, F.col(f"_hi_{m}") - F.col(f"_lo_{m}")).otherwise(F.lit(0)).alias(m)
-            for m in measures
-        ],
-    )
+    sign = F.when(F.col("_side") == "hi", F.lit(1)).otherwise(F.lit(-1))
+    out = [
+        F.when(bounded, sign * F.coalesce(F.col(f"_v_{m}"), F.lit(0))).otherwise(F.lit(0)).alias(m)
+        for m in measures
+    ]
+    if key_total:
+        out.append(F.when(F.col("_side") == "lo", F.coalesce(F.col(key_total), F.lit(0))).otherwise(F.lit(0))
+                   .cast("long").alias(key_total))
+    return joined.select(*intervals.columns, F.col("_side").alias("side"), *out)
+
+
+def interval_sums(
+    intervals: DataFrame,
+    events: DataFrame,
+    keys: Sequence[str],
+    lo: str,
+    hi: str,
+    time_col: str,
+    measures: Sequence[str],
+) -> DataFrame:
+    """Add to every interval row the sums of ``measures`` over the events of
+    the same ``keys`` with ``lo <= time <= hi`` (0 when a bound is NULL).
+
+    Interval rows must be distinct (they are grouped back by all columns).
+    """
+    signed = signed_interval_sums(intervals, events, keys, lo, hi, time_col, measures)
+    return signed.groupBy(*intervals.columns).agg(*[F.sum(m).alias(m) for m in measures])

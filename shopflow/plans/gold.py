@@ -27,7 +27,7 @@ from shopflow.functions.times import (
     truncate_to_second,
     within_days,
 )
-from shopflow.operators.interval import interval_sums, previous_time
+from shopflow.operators.interval import previous_time, signed_interval_sums
 from shopflow.operators.joins import dimension, key_multiplicity
 from shopflow.operators.ranking import top_n_columns
 
@@ -201,16 +201,22 @@ def interactions_before_buy(orders: DataFrame, history: DataFrame) -> DataFrame:
         F.col("view_time").isNotNull().cast("long").alias("_nv"),
         F.coalesce(F.col("view_time"), F.lit(0)).cast("long").alias("_s"),
     )
-    # every joined click row of the pair, any time: presence and the NULL rule
-    pair_rows = clicks.groupBy("customer_id", "product_id").agg(_count().alias("_all"))
-    present = intervals.join(pair_rows, ["customer_id", "product_id"])
-    sums = interval_sums(present, clicks, ["customer_id", "product_id"], "_lo", "_hi", "_t", ["_n", "_nv", "_s"])
+    # _all: every joined click row of the pair, any time (NULL times too) --
+    # it decides whether the order appears at all, and the NULL rule below
+    signed = signed_interval_sums(
+        intervals, clicks, ["customer_id", "product_id"], "_lo", "_hi", "_t", ["_n", "_nv", "_s"], key_total="_all"
+    )
+    per_order = signed.groupBy("customer_id", "order_id").agg(
+        *[F.sum(c).alias(c) for c in ("_all", "_n", "_nv", "_s")]
+    )
     # the reference sums view_time over in-interval rows and 0 elsewhere:
     # NULL only when every joined row is in the interval with a NULL view_time
-    all_null = (F.col("_n") - F.col("_nv")) == F.col("_all")
-    return sums.groupBy("customer_id", "order_id").agg(
-        F.sum("_n").alias("interact_count_before_buy"),
-        F.sum(F.when(all_null, F.lit(None)).otherwise(F.col("_s"))).alias("view_duration_before_buy"),
+    return per_order.filter(F.col("_all") > 0).select(
+        "customer_id",
+        "order_id",
+        F.col("_n").alias("interact_count_before_buy"),
+        F.when(F.col("_n") - F.col("_nv") == F.col("_all"), F.lit(None)).otherwise(F.col("_s"))
+        .alias("view_duration_before_buy"),
     )
 
 

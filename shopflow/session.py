@@ -15,8 +15,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # size coalesced partitions by bytes (advisory 64 MB), not by core count
-    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     # streaming state (dedup / aggregation keys) lives off-heap and spills to disk
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
