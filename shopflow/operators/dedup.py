@@ -35,3 +35,15 @@ def first_by_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> Dat
     winner = F.min(F.struct(*[F.col(c) for c in (*order, *rest)])).alias("_w")
     out = df.groupBy(*key).agg(winner)
     return out.select(*[F.col(c) if c in key else F.col(f"_w.{c}").alias(c) for c in df.columns])
+
+
+def latest_by_key(df: DataFrame, key: Sequence[str] | str, order: Sequence[str]) -> DataFrame:
+    """Keep, per ``key``, the row that is largest on ``order`` (then on every
+    other column) -- e.g. the latest version of a shoe whose price changed,
+    which payload-level de-duplication keeps as a second row.  Batch only;
+    one ``max(struct(...))`` aggregate, skew-safe and deterministic."""
+    keys = [key] if isinstance(key, str) else list(key)
+    rest = [c for c in df.columns if c not in set(keys) | set(order)]
+    winner = F.max(F.struct(*[F.col(c) for c in (*order, *rest)])).alias("_w")
+    out = df.groupBy(*keys).agg(winner)
+    return out.select(*[F.col(c) if c in keys else F.col(f"_w.{c}").alias(c) for c in df.columns])

@@ -78,16 +78,24 @@ def intent_history(history: DataFrame, orders: DataFrame, shoes: DataFrame) -> D
     )
 
 
-def interest_profile(history: DataFrame, intent: DataFrame) -> DataFrame:
+def interest_profile(history: DataFrame, intent: DataFrame, which: str = "first") -> DataFrame:
     """Customer interest profile: hours since the user's *earliest* click
-    (the reference's ``ORDER BY ts`` ascending, kept), the two brands bought
-    most (ties: brand name ascending), and click / view / buy totals."""
-    first = history.groupBy("user_id").agg(
-        # ROW_NUMBER() ... ORDER BY ts picks a NULL ts first (NULLS FIRST)
-        F.when(_count() > F.count("ts"), F.lit(None))
-        .otherwise(F.max("hours_since_timestamp"))
-        .alias("latest_interact_hour")
-    )
+    (the reference's ``ORDER BY ts`` ascending, kept; ``which="last"`` takes
+    the most recent click instead), the two brands bought most (ties: brand
+    name ascending), and click / view / buy totals.
+
+    The pick of one click per user is an aggregate, not a window: hours since
+    a click fall as the click gets later, so the earliest click has the
+    largest value and a hot user is reduced map-side."""
+    if which == "first":
+        # ROW_NUMBER() ... ORDER BY ts ASC picks a NULL ts first (NULLS FIRST)
+        hours = F.when(_count() > F.count("ts"), F.lit(None)).otherwise(F.max("hours_since_timestamp"))
+    elif which == "last":
+        # ... ORDER BY ts DESC puts NULL times last
+        hours = F.min("hours_since_timestamp")
+    else:
+        raise ValueError(f"which must be 'first' or 'last', not {which!r}")
+    first = history.groupBy("user_id").agg(hours.alias("latest_interact_hour"))
     per_brand = intent.groupBy("user_id", "brand").agg(F.sum("buy_count").alias("buy_count"))
     top = top_n_columns(
         per_brand, "user_id", "brand",
@@ -220,22 +228,27 @@ def interactions_before_buy(orders: DataFrame, history: DataFrame) -> DataFrame:
     )
 
 
-def customer_feature(interactions: DataFrame, history: DataFrame, customers: DataFrame) -> DataFrame:
+def customer_feature(interactions: DataFrame, history: DataFrame, customers: DataFrame,
+                     rank_by: str = "average") -> DataFrame:
     """``customer_feature``: per customer the average view time per click
     before purchases (NULL when no such click), the two brands with the
-    highest average view time per click (ties: brand ascending), and the
-    customer's profile."""
+    highest average view time per click (ties: brand ascending; ``rank_by=
+    "count"`` ranks by number of clicks instead, as the column name suggests),
+    and the customer's profile."""
+    if rank_by not in ("average", "count"):
+        raise ValueError(f"rank_by must be 'average' or 'count', not {rank_by!r}")
     before = interactions.groupBy("customer_id").agg(
         F.try_divide(F.sum("view_duration_before_buy"), F.sum("interact_count_before_buy")).alias(
             "avg_view_duration_before_buy"
         )
     )
     per_brand = history.groupBy("user_id", "brand").agg(
-        (F.sum("view_time") / _count()).alias("average_view_duration")
+        (F.sum("view_time") / _count()).alias("average_view_duration"), _count().alias("view_count")
     )
+    score = "average_view_duration" if rank_by == "average" else "view_count"
     top = top_n_columns(
         per_brand, "user_id", "brand",
-        [F.col("average_view_duration").desc(), F.col("brand").asc()],
+        [F.col(score).desc(), F.col("brand").asc()],
         ["most_interaction_brand", "second_interaction_brand"],
     )
     c = customers.select(F.col("id").alias("_cid"), *CUSTOMER_PROFILE)

@@ -94,3 +94,34 @@ def test_transactions_columns(spark):
     assert rows[1].orders_ts_month == "202401" and rows[2].customers_id is None and rows[2].brand is None
     v1 = silver.transactions_v1(orders, custs, shoes)
     assert "orders_arrive_dt" in v1.columns and "shoes_arrive_dt" in v1.columns and "orders_ts" in v1.columns
+
+
+def test_options_and_latest_by_key(spark):
+    from shopflow.operators.dedup import latest_by_key
+
+    shoes = h.shoes(spark, [("1", "B"), ("2", "A")])
+    clicks = h.clicks(spark, [("1", "u1", 10, h.at(1)), ("2", "u1", 4, h.at(5)), ("2", "u1", 6, h.at(6))])
+    hist1 = silver.click_history_v1(clicks, AS_OF)
+    intent = gold.intent_history(hist1, h.orders(spark, []), shoes)
+    first = gold.interest_profile(hist1, intent).collect()[0].latest_interact_hour
+    last = gold.interest_profile(hist1, intent, which="last").collect()[0].latest_interact_hour
+    assert first - last == 5
+    hist2 = silver.click_history_v2(clicks, shoes, AS_OF)
+    inter = gold.interactions_before_buy(h.orders(spark, [(1, "1", "u1", h.at(9))]), hist2)
+    by_avg = gold.customer_feature(inter, hist2, h.customers(spark, ["u1"])).collect()[0]
+    by_cnt = gold.customer_feature(inter, hist2, h.customers(spark, ["u1"]), rank_by="count").collect()[0]
+    assert by_avg.most_interaction_brand == "B" and by_cnt.most_interaction_brand == "A"
+    versions = spark.createDataFrame([("1", 100, 1), ("1", 120, 2), ("2", 50, 1)], "id string, price int, v int")
+    assert sorted((r.id, r.price) for r in latest_by_key(versions, "id", ["v"]).collect()) == [("1", 120), ("2", 50)]
+
+
+def test_build_tables(spark, scratch):
+    from shopflow import fixtures as fx
+    from shopflow.plans.tables import build_tables
+
+    from .conftest import SF_SMALL
+
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS shopflow_b LOCATION '{scratch}/dbb'")
+    out = build_tables(spark, fx.bronze_tables(spark, SF_SMALL), fx.AS_OF, database="shopflow_b")
+    assert spark.table("shopflow_b.customer_feature").count() == out["customer_feature"].count() > 0
+    assert spark.table("top_sell_product_all_time").count() > 0
