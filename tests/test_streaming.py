@@ -70,3 +70,28 @@ def test_streaming_temp_view(spark, scratch):
     write_messages(fx.wire(spark, SF_SMALL, "shoes"), src)
     v = view(bronze(read_messages(spark, src), "shoes"), "stream_data_shoes_view")
     assert v.isStreaming and spark.table("stream_data_shoes_view").isStreaming
+
+
+def test_new_slice_after_restart_updates_latest_time(spark, scratch):
+    import datetime as dt
+    import json
+
+    from shopflow.schemas import KAFKA_ROW
+
+    src, out, ckpt = (os.path.join(scratch, d) for d in ("src", "out", "ckpt"))
+    sent = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
+
+    def msgs(rows):
+        return spark.createDataFrame(
+            [(b"k", json.dumps(r).encode(), "t", sent) for r in rows], KAFKA_ROW)
+
+    base = {"product_id": "1", "user_id": "u", "view_time": 5, "page_url": "/p", "ip": "1.1.1.1"}
+    write_messages(msgs([dict(base, ts=1681560000123)]), src)
+    ingest(spark, read_messages(spark, src), "shoe_clickstream", out, checkpoint=ckpt).awaitTermination()
+    first = spark.read.parquet(out).collect()
+    assert [(r.view_time, r.ts) for r in first] == [(5, dt.datetime(2023, 4, 15, 19, 0))]  # Bangkok wall clock
+    # a later copy of the same payload and a new payload arrive after a restart
+    write_messages(msgs([dict(base, ts=1681563600999), dict(base, view_time=7, ts=1681560000000)]), src)
+    ingest(spark, read_messages(spark, src), "shoe_clickstream", out, checkpoint=ckpt).awaitTermination()
+    rows = sorted((r.view_time, r.ts) for r in spark.read.parquet(out).collect())
+    assert rows == [(5, dt.datetime(2023, 4, 15, 20, 0)), (7, dt.datetime(2023, 4, 15, 19, 0))]
