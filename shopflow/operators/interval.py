@@ -147,23 +147,32 @@ def previous_time(
     so does the first row after them, as with NULLS FIRST ordering.
 
     No window spans a whole partition: the distinct times of a partition are
-    each an event and a strictly-before probe of one two-level running max.
+    lagged inside (partition, day) buckets (<= 86,400 rows each), and the first
+    time of a bucket takes the last time of the partition's previous active
+    bucket from a window over one row per bucket.
     """
     partition = list(partition)
     firsts = (
         df.filter(F.col(time_col).isNotNull())
         .groupBy(*partition, time_col)
         .agg(F.min(F.struct(*tiebreak)).alias("_first"))
+        .withColumn("_bucket", F.floor(epoch_seconds(time_col) / F.lit(bucket_seconds)).cast("long"))
+    )
+    ordered = Window.partitionBy(*partition, "_bucket").orderBy(time_col)
+    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    scanned = firsts.select(
+        *partition, time_col, "_first", "_bucket",
+        F.lag(time_col).over(ordered).alias("_prev_in"),
+        F.max(time_col).over(whole).alias("_bucket_max"),
+        F.lead(F.lit(1)).over(ordered).isNull().alias("_last"),
+    )
+    by_bucket = Window.partitionBy(*partition).orderBy("_bucket")
+    before = scanned.filter(F.col("_last")).select(
+        *partition, "_bucket", F.lag("_bucket_max").over(by_bucket).alias("_prev_bucket")
+    )
+    info = scanned.join(before, [*partition, "_bucket"]).select(
+        *partition, time_col, "_first", F.coalesce(F.col("_prev_in"), F.col("_prev_bucket")).alias("_prev")
     )
-    # each distinct time is an event (rank 1, value = time) and a probe (rank 0)
-    both = firsts.select(
-        *partition, time_col, "_first",
-        F.explode(F.array(
-            F.struct(F.lit(1).alias("_rank"), F.col(time_col).alias("_prev")),
-            F.struct(F.lit(0).alias("_rank"), F.lit(None).cast(df.schema[time_col].dataType).alias("_prev")),
-        )).alias("_e"),
-    ).select(*partition, time_col, "_first", "_e._rank", "_e._prev")
-    info = _scan(both, partition, time_col, {"_prev": "max"}, ["_first"], bucket_seconds).drop("_rank")
     joined = df.join(info, [*partition, time_col], "left")
     is_first = F.struct(*[F.col(c) for c in tiebreak]) == F.col("_first")
     return joined.select(
