@@ -28,14 +28,15 @@ ARRIVAL_ZONE = {
 }
 
 
-def parse(raw: DataFrame, table: str, drop_malformed: bool = False) -> DataFrame:
+def parse(raw: DataFrame, table: str, drop_malformed: bool = False, schema=None) -> DataFrame:
     """``value`` bytes -> typed payload columns (+ ``_sent``, the message time).
 
     Malformed JSON and tombstones give an all-NULL payload (``from_json``
     PERMISSIVE), which the dedup step folds into one all-NULL row, as in the
-    reference; ``drop_malformed=True`` removes them instead.
+    reference; ``drop_malformed=True`` removes them instead.  ``schema``
+    overrides the built-in wire schema (e.g. ``catalog.wire_schema_of``).
     """
-    schema = wire_schema(table)
+    schema = schema or wire_schema(table)
     sent = F.col("timestamp") if "timestamp" in raw.columns else F.lit(None).cast("timestamp")
     df = raw.select(
         F.from_json(F.col("value").cast("string"), schema).alias("_data"), sent.alias("_sent")
@@ -65,9 +66,9 @@ def stamp_arrival(df: DataFrame, table: str, arrival: str = "processing", arriva
 
 
 def bronze(raw: DataFrame, table: str, zone: str = REFERENCE_ZONE, arrival: str = "processing",
-           arrival_zone: str | None = None, drop_malformed: bool = False) -> DataFrame:
+           arrival_zone: str | None = None, drop_malformed: bool = False, schema=None) -> DataFrame:
     """Bronze rows of ``table`` from Kafka-shaped messages (batch or stream)."""
-    df = normalise_ts(parse(raw, table, drop_malformed), table, zone)
+    df = normalise_ts(parse(raw, table, drop_malformed, schema), table, zone)
     if table == "shoe_orders":
         # one row per order id; the stream keeps the first arrival, a batch the
         # earliest message (then the smallest payload) so re-runs agree

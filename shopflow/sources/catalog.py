@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import LongType, StructField, StructType
 
 from shopflow.schemas import BRONZE
 
@@ -47,3 +48,15 @@ def persistent_view(spark: SparkSession, name: str, sql: str) -> DataFrame:
     """``CREATE OR REPLACE VIEW name AS sql`` over catalog tables (not temp views)."""
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS {sql}")
     return spark.table(name)
+
+
+def wire_schema_of(spark: SparkSession, table: str) -> StructType:
+    """Parse schema taken from the sink table itself (the reference reads the
+    sink's schema and parses the JSON with it): every column but
+    ``arrive_dt``, with ``ts`` read as epoch milliseconds (BIGINT)."""
+    fields = []
+    for f in spark.table(table).schema.fields:
+        if f.name == "arrive_dt":
+            continue
+        fields.append(StructField("ts", LongType(), True) if f.name == "ts" else f)
+    return StructType(fields)

@@ -15,6 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 #: JAAS login module of the open-source Kafka client
 PLAIN_LOGIN_MODULE = "org.apache.kafka.common.security.plain.PlainLoginModule"
 
+# fixed values: option names of the INI section read by StreamConfig.from_ini
+# (kept as written in existing deployment config files)
+INI_BOOTSTRAP = "bootstrap_server"
+INI_API_KEY = "confluentApiKey"
+INI_API_SECRET = "confluentSecret"
+INI_TOPIC_PREFIX = "TopicName_"
+
 
 @dataclass(frozen=True)
 class StreamConfig:
@@ -31,18 +38,18 @@ class StreamConfig:
 
     @classmethod
     def from_ini(cls, path: str, section: str, table: str, **kw) -> StreamConfig:
-        """Read ``bootstrap_server``, ``confluentApiKey``, ``confluentSecret`` and
-        ``TopicName_<table>`` from an INI section (the reference's config layout)."""
+        """Read the bootstrap server, API key and secret and the topic of
+        ``table`` from an INI section (option names: the fixed values above)."""
         cp = configparser.ConfigParser()
         cp.optionxform = str  # keep key case
         if not cp.read(path):
             raise FileNotFoundError(path)
         sec = cp[section]
         return cls(
-            bootstrap_servers=sec["bootstrap_server"],
-            topic=sec[f"TopicName_{table}"],
-            api_key=sec.get("confluentApiKey"),
-            api_secret=sec.get("confluentSecret"),
+            bootstrap_servers=sec[INI_BOOTSTRAP],
+            topic=sec[f"{INI_TOPIC_PREFIX}{table}"],
+            api_key=sec.get(INI_API_KEY),
+            api_secret=sec.get(INI_API_SECRET),
             **kw,
         )
 

@@ -82,3 +82,13 @@ def test_persistent_view(spark, scratch):
     snapshot(spark.createDataFrame([(1, "a"), (2, "a")], "x int, b string"), "shopflow_v.base")
     v = persistent_view(spark, "shopflow_v.per_b", "SELECT b, count(*) AS n FROM shopflow_v.base GROUP BY b")
     assert [(r.b, r.n) for r in v.collect()] == [("a", 2)]
+
+
+def test_wire_schema_from_sink_table(spark, scratch):
+    from shopflow.schemas import wire_schema
+    from shopflow.sources.catalog import wire_schema_of
+
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS shopflow_w LOCATION '{scratch}/dbw'")
+    create_bronze_tables(spark, "shopflow_w")
+    for t in ("shoe_orders", "shoe_clickstream", "customers", "shoes"):
+        assert wire_schema_of(spark, f"shopflow_w.{t}").simpleString() == wire_schema(t).simpleString()
