@@ -35,6 +35,18 @@ DAY = 86_400
 _AGG = {"sum": F.sum, "max": F.max}
 
 
+def _join_keys(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``cols`` where NULL matches NULL (as rows of one SQL
+    ``PARTITION BY`` group do); output has ``left``'s columns then the rest."""
+    r = right.select(*[F.col(c).alias(f"_r_{c}") if c in cols else F.col(c) for c in right.columns])
+    cond = [F.col(f"_l.{c}").eqNullSafe(F.col(f"_r.{f'_r_{c}'}")) for c in cols]
+    joined = left.alias("_l").join(r.alias("_r"), cond, how)
+    return joined.select(
+        *[F.col(f"_l.{c}").alias(c) for c in left.columns],
+        *[F.col(f"_r.{c}").alias(c) for c in right.columns if c not in cols],
+    )
+
+
 def _combine(how: str, before: Column, inside: Column) -> Column:
     if how == "sum":
         return F.coalesce(before, F.lit(0)) + F.coalesce(inside, F.lit(0))
@@ -78,7 +90,7 @@ def _scan(rows: DataFrame, keys: list[str], time_col: str, measures: Mapping[str
         *[_AGG[measures[m]](F.when(timed, F.col(f"_tot_{m}"))).over(earlier).alias(f"_pre_{m}") for m in names],
         *([F.sum("_tot__cnt").over(everything).alias(key_total)] if key_total else []),
     )
-    hits = scanned.filter(F.col("_rank") != 1).join(before, [*keys, "_bucket"])
+    hits = _join_keys(scanned.filter(F.col("_rank") != 1), before, [*keys, "_bucket"])
     return hits.select(
         *keys, time_col, "_rank", *carry,
         *[_combine(measures[m], F.col(f"_pre_{m}"), F.col(f"_in_{m}")).alias(m) for m in names],
@@ -170,10 +182,10 @@ def previous_time(
     before = scanned.filter(F.col("_last")).select(
         *partition, "_bucket", F.lag("_bucket_max").over(by_bucket).alias("_prev_bucket")
     )
-    info = scanned.join(before, [*partition, "_bucket"]).select(
+    info = _join_keys(scanned, before, [*partition, "_bucket"]).select(
         *partition, time_col, "_first", F.coalesce(F.col("_prev_in"), F.col("_prev_bucket")).alias("_prev")
     )
-    joined = df.join(info, [*partition, time_col], "left")
+    joined = _join_keys(df, info, [*partition, time_col], "left")
     is_first = F.struct(*[F.col(c) for c in tiebreak]) == F.col("_first")
     return joined.select(
         *df.columns,
@@ -221,7 +233,7 @@ def signed_interval_sums(
         *keys, F.col(time_col).alias("_pt"), F.col("side").alias("_side"),
         *[F.col(m).alias(f"_v_{m}") for m in measures], *([key_total] if key_total else []),
     )
-    joined = sides.join(pre, [*keys, "_pt", "_side"], "left")
+    joined = _join_keys(sides, pre, [*keys, "_pt", "_side"], "left")
     bounded = F.col(lo).isNotNull() & F.col(hi).isNotNull()
     sign = F.when(F.col("_side") == "hi", F.lit(1)).otherwise(F.lit(-1))
     out = [
