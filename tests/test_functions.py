@@ -92,3 +92,18 @@ def test_wire_schema_from_sink_table(spark, scratch):
     create_bronze_tables(spark, "shopflow_w")
     for t in ("shoe_orders", "shoe_clickstream", "customers", "shoes"):
         assert wire_schema_of(spark, f"shopflow_w.{t}").simpleString() == wire_schema(t).simpleString()
+
+
+def test_shift_zone_and_bounded_broadcast(spark):
+    from shopflow.functions.times import shift_zone
+    from shopflow.operators.joins import bounded_broadcast, dimension
+
+    df = spark.createDataFrame([(dt.datetime(2024, 1, 1, 12),)], "t timestamp_ntz")
+    assert df.select(shift_zone("t", "Asia/Bangkok").alias("s")).collect()[0].s == dt.datetime(2024, 1, 1, 19)
+    small = spark.range(10)
+    hinted = bounded_broadcast(small, max_rows=10)
+    big = bounded_broadcast(small, max_rows=9)
+    join_plan = lambda d: spark.range(100).join(d, "id")._jdf.queryExecution().optimizedPlan().toString()
+    assert "broadcast" in join_plan(hinted).lower()
+    assert "broadcast" not in join_plan(big).lower()
+    assert dimension(small) is small
