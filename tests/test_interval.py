@@ -146,3 +146,15 @@ def test_plan_has_no_pairwise_join(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert F is not None
+
+
+def test_null_keys_form_their_own_group(spark):
+    df = spark.createDataFrame(
+        [(None, 7, h.at(0)), (None, 8, h.at(30)), ("c", 9, h.at(10))],
+        "k string, id long, ts timestamp_ntz",
+    )
+    got = {r.id: r.prev_ts for r in previous_time(df, ["k"], "ts", ["id"]).collect()}
+    assert got == {7: None, 8: h.at(0), 9: None}
+    ev = spark.createDataFrame([(None, h.at(0), 1), (None, h.at(40), 1)], "key string, t timestamp_ntz, n long")
+    probes = spark.createDataFrame([(None, h.at(48), "hi")], "key string, t timestamp_ntz, side string")
+    assert [r.n for r in prefix_at(ev, probes, ["key"], "t", {"n": "sum"}).collect()] == [2]
