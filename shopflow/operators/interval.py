@@ -123,22 +123,14 @@ def prefix_at(
     keys = list(keys)
     names = list(measures)
     src = events if key_total else events.filter(F.col(time_col).isNotNull())
-    ev = (
-        src.groupBy(*keys, time_col)
-        .agg(*[_AGG[measures[m]](m).alias(m) for m in names], *([F.count(F.lit(1)).alias("_cnt")] if key_total else []))
-        .withColumn("_rank", F.lit(1))
+    ev = src.groupBy(*keys, time_col, F.lit(1).alias("_rank")).agg(
+        *[_AGG[measures[m]](m).alias(m) for m in names], *([F.count(F.lit(1)).alias("_cnt")] if key_total else [])
     )
-    types = {f.name: f.dataType for f in ev.schema.fields}
-    pr = (
-        probes.filter(F.col(time_col).isNotNull())
-        .select(*keys, time_col, F.when(F.col(side_col) == "lo", F.lit(0)).otherwise(F.lit(2)).alias("_rank"))
-        .distinct()
-        .select(
-            *keys, time_col, "_rank",
-            *[F.lit(None).cast(types[m]).alias(m) for m in names + (["_cnt"] if key_total else [])],
-        )
-    )
-    hits = _scan(ev.unionByName(pr), keys, time_col, measures, [], bucket_seconds, key_total)
+    pr = probes.select(
+        *keys, time_col, F.when(F.col(side_col) == "lo", F.lit(0)).otherwise(F.lit(2)).alias("_rank")
+    ).filter(F.col(time_col).isNotNull()).distinct()
+    # probes carry NULL measures: they read the running values without adding to them
+    hits = _scan(ev.unionByName(pr, allowMissingColumns=True), keys, time_col, measures, [], bucket_seconds, key_total)
     return hits.select(
         *keys, time_col,
         F.when(F.col("_rank") == 0, F.lit("lo")).otherwise(F.lit("hi")).alias(side_col),
@@ -222,11 +214,11 @@ def signed_interval_sums(
     keys = list(keys)
     sides = intervals.select(
         *intervals.columns,
-        F.explode(F.array(
+        F.inline(F.array(
             F.struct(F.col(lo).alias("_pt"), F.lit("lo").alias("_side")),
             F.struct(F.col(hi).alias("_pt"), F.lit("hi").alias("_side")),
-        )).alias("_p"),
-    ).select(*intervals.columns, "_p._pt", "_p._side")
+        )),
+    )
     probes = sides.select(*keys, F.col("_pt").alias(time_col), F.col("_side").alias("side"))
     pre = prefix_at(events, probes, keys, time_col, {m: "sum" for m in measures}, key_total=key_total)
     pre = pre.select(
