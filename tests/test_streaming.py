@@ -95,3 +95,18 @@ def test_new_slice_after_restart_updates_latest_time(spark, scratch):
     ingest(spark, read_messages(spark, src), "shoe_clickstream", out, checkpoint=ckpt).awaitTermination()
     rows = sorted((r.view_time, r.ts) for r in spark.read.parquet(out).collect())
     assert rows == [(5, dt.datetime(2023, 4, 15, 20, 0)), (7, dt.datetime(2023, 4, 15, 19, 0))]
+
+
+def test_continuous_trigger_picks_up_new_files(spark, scratch):
+    src, out, ckpt = (os.path.join(scratch, d) for d in ("src", "out", "ckpt"))
+    wire = fx.wire(spark, SF_SMALL, "shoes")
+    write_messages(wire.filter("key < unhex('0000000000000064')"), src)  # first slice: ids < 100
+    q = ingest(spark, read_messages(spark, src), "shoes", out, checkpoint=ckpt, trigger="1 second")
+    try:
+        q.processAllAvailable()
+        first = spark.read.parquet(out).count()
+        write_messages(wire.filter("key >= unhex('0000000000000064')"), src)
+        q.processAllAvailable()
+        assert first == 100 and spark.read.parquet(out).count() == wire.count()
+    finally:
+        q.stop()
