@@ -15,6 +15,21 @@ from shopflow.functions.times import AsOf
 from shopflow.plans import gold, silver
 from shopflow.sources.catalog import snapshot, view
 
+# fixed values: output names users query today, in build order
+CLICK_HISTORY_V1 = "cust_click_stream_history_v1"
+CLICK_HISTORY = "cust_click_stream_history"
+TRANSACTIONS_V1 = "transction_orders"
+TRANSACTIONS = "orders_transction"
+INTENT_HISTORY = "cust_intent_history"
+INTERACT_BEFORE_BUY = "customer_interact_before_buy"
+CUSTOMER_FEATURE = "customer_feature"
+INTEREST_PROFILE = "customer_interest_profile"
+TOP_SELL = "top_sell_product"
+TOP_SELL_ALL_TIME = "top_sell_product_all_time"
+ORDER_HISTORY = "customer_order_history"
+CLICK_WITHIN_WEEK = "click_within_week_view"
+RECENT_CLICKS = "real_time_click_stream_15_minutes"
+
 
 def build_tables(
     spark: SparkSession,
@@ -32,30 +47,29 @@ def build_tables(
     clicks, orders = bronze["shoe_clickstream"], bronze["shoe_orders"]
     shoes, customers = bronze["shoes"], bronze["customers"]
     out: dict[str, DataFrame] = {}
+
+    def table(name: str, df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
+        out[name] = snapshot(df, q(name), fmt, partition_by=partition_by)
+        return out[name]
+
     # silver
-    out["cust_click_stream_history_v1"] = snapshot(
-        silver.click_history_v1(clicks, as_of), q("cust_click_stream_history_v1"), fmt)
-    out["cust_click_stream_history"] = snapshot(
-        silver.click_history_v2(clicks, shoes, as_of), q("cust_click_stream_history"), fmt,
-        partition_by=None)
-    out["transction_orders"] = snapshot(silver.transactions_v1(orders, customers, shoes), q("transction_orders"), fmt)
-    out["orders_transction"] = snapshot(
-        silver.transactions_v2(orders, customers, shoes), q("orders_transction"), fmt,
-        partition_by=["orders_ts_month"])
-    h1, h2, tx = out["cust_click_stream_history_v1"], out["cust_click_stream_history"], out["orders_transction"]
+    h1 = table(CLICK_HISTORY_V1, silver.click_history_v1(clicks, as_of))
+    h2 = table(CLICK_HISTORY, silver.click_history_v2(clicks, shoes, as_of))
+    table(TRANSACTIONS_V1, silver.transactions_v1(orders, customers, shoes))
+    tx = table(TRANSACTIONS, silver.transactions_v2(orders, customers, shoes), partition_by=["orders_ts_month"])
     # gold tables
-    out["cust_intent_history"] = snapshot(gold.intent_history(h1, orders, shoes), q("cust_intent_history"), fmt)
-    out["customer_interact_before_buy"] = snapshot(
-        gold.interactions_before_buy(orders, h2), q("customer_interact_before_buy"), fmt)
-    out["customer_feature"] = snapshot(
-        gold.customer_feature(out["customer_interact_before_buy"], h2, customers), q("customer_feature"), fmt)
+    intent = table(INTENT_HISTORY, gold.intent_history(h1, orders, shoes))
+    inter = table(INTERACT_BEFORE_BUY, gold.interactions_before_buy(orders, h2))
+    table(CUSTOMER_FEATURE, gold.customer_feature(inter, h2, customers))
     # gold views (re-planned on every read)
-    out["customer_interest_profile"] = view(
-        gold.interest_profile(h1, out["cust_intent_history"]), "customer_interest_profile")
-    out["top_sell_product"] = view(gold.top_sellers(orders, shoes), "top_sell_product")
-    out["top_sell_product_all_time"] = view(gold.top_sellers_from_transactions(tx), "top_sell_product_all_time")
-    out["customer_order_history"] = view(gold.customer_order_history(tx), "customer_order_history")
-    out["click_within_week_view"] = view(gold.clicks_within_days(h1, as_of, 7), "click_within_week_view")
-    out["real_time_click_stream_15_minutes"] = view(
-        gold.recent_clicks(h2, "shoe_clickstream_ts", as_of, 15), "real_time_click_stream_15_minutes")
+    views = {
+        INTEREST_PROFILE: gold.interest_profile(h1, intent),
+        TOP_SELL: gold.top_sellers(orders, shoes),
+        TOP_SELL_ALL_TIME: gold.top_sellers_from_transactions(tx),
+        ORDER_HISTORY: gold.customer_order_history(tx),
+        CLICK_WITHIN_WEEK: gold.clicks_within_days(h1, as_of, 7),
+        RECENT_CLICKS: gold.recent_clicks(h2, "shoe_clickstream_ts", as_of, 15),
+    }
+    for name, df in views.items():
+        out[name] = view(df, name)
     return out

@@ -68,8 +68,8 @@ def test_streaming_temp_view(spark, scratch):
 
     src = os.path.join(scratch, "src")
     write_messages(fx.wire(spark, SF_SMALL, "shoes"), src)
-    v = view(bronze(read_messages(spark, src), "shoes"), "stream_data_shoes_view")
-    assert v.isStreaming and spark.table("stream_data_shoes_view").isStreaming
+    v = view(bronze(read_messages(spark, src), "shoes"), "shoes_stream_view")
+    assert v.isStreaming and spark.table("shoes_stream_view").isStreaming
 
 
 def test_new_slice_after_restart_updates_latest_time(spark, scratch):
