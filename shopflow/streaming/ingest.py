@@ -47,10 +47,12 @@ def bronze_stream(messages: DataFrame, table: str, zone: str = REFERENCE_ZONE, m
     return df.dropDuplicatesWithinWatermark(payload_columns(columns)).select(*columns)
 
 
-def ingest(spark: SparkSession, messages: DataFrame, table: str, path: str, checkpoint: str | None = None,
-           trigger: str | None = "availableNow", mode: str = "complete", zone: str = REFERENCE_ZONE,
-           watermark: str = "1 hour", query_name: str | None = None) -> StreamingQuery:
-    """Start the ingest query of ``table`` writing to ``path``.
+def ingest(spark: SparkSession, messages: DataFrame, table: str, path: str | None = None,
+           checkpoint: str | None = None, trigger: str | None = "availableNow", mode: str = "complete",
+           zone: str = REFERENCE_ZONE, watermark: str = "1 hour", query_name: str | None = None,
+           sink_table: str | None = None) -> StreamingQuery:
+    """Start the ingest query of ``table`` writing to ``path`` or to the
+    catalog table ``sink_table``.
 
     ``checkpoint`` defaults to ``<spark.checkpoint.dir>/streams/<table>``; a
     restart on the same checkpoint resumes without re-adding processed input.
@@ -58,8 +60,8 @@ def ingest(spark: SparkSession, messages: DataFrame, table: str, path: str, chec
     ckpt = checkpoint or stream_checkpoint(spark, table)
     rows = bronze_stream(messages, table, zone=zone, mode=mode, watermark=watermark)
     if mode == "complete":
-        return write_complete(rows, path, ckpt, trigger, query_name=query_name)
-    return write_append(rows, path, ckpt, trigger, query_name=query_name)
+        return write_complete(rows, path, ckpt, trigger, query_name=query_name, table=sink_table)
+    return write_append(rows, path, ckpt, trigger, query_name=query_name, table=sink_table)
 
 
 def stop_all(spark: SparkSession) -> int:

@@ -29,12 +29,20 @@ def trigger_kwargs(trigger: str | None) -> dict:
     return {"processingTime": trigger}
 
 
-def write_complete(df: DataFrame, path: str, checkpoint: str, trigger: str | None = "availableNow",
-                   fmt: str = "parquet", query_name: str | None = None) -> StreamingQuery:
-    """Complete-mode result rewritten to ``path`` after each micro-batch."""
+def write_complete(df: DataFrame, path: str | None, checkpoint: str, trigger: str | None = "availableNow",
+                   fmt: str = "parquet", query_name: str | None = None,
+                   table: str | None = None) -> StreamingQuery:
+    """Complete-mode result rewritten after each micro-batch, to ``path`` or
+    to the catalog table ``table``."""
+    if (path is None) == (table is None):
+        raise ValueError("give exactly one of path and table")
 
     def _rewrite(batch: DataFrame, _batch_id: int) -> None:
-        batch.write.mode("overwrite").format(fmt).save(path)
+        writer = batch.write.mode("overwrite").format(fmt)
+        if table:
+            writer.saveAsTable(table)
+        else:
+            writer.save(path)
 
     w = df.writeStream.outputMode("complete").option("checkpointLocation", checkpoint).foreachBatch(_rewrite)
     if query_name:
@@ -42,13 +50,18 @@ def write_complete(df: DataFrame, path: str, checkpoint: str, trigger: str | Non
     return w.trigger(**trigger_kwargs(trigger)).start()
 
 
-def write_append(df: DataFrame, path: str, checkpoint: str, trigger: str | None = "availableNow",
-                 fmt: str = "parquet", query_name: str | None = None) -> StreamingQuery:
-    """Append-mode file sink (exactly-once through the sink's commit log)."""
-    w = df.writeStream.outputMode("append").format(fmt).option("checkpointLocation", checkpoint).option("path", path)
+def write_append(df: DataFrame, path: str | None, checkpoint: str, trigger: str | None = "availableNow",
+                 fmt: str = "parquet", query_name: str | None = None,
+                 table: str | None = None) -> StreamingQuery:
+    """Append-mode file sink (exactly-once through the sink's commit log), to
+    ``path`` or to the catalog table ``table``."""
+    if (path is None) == (table is None):
+        raise ValueError("give exactly one of path and table")
+    w = df.writeStream.outputMode("append").format(fmt).option("checkpointLocation", checkpoint)
     if query_name:
         w = w.queryName(query_name)
-    return w.trigger(**trigger_kwargs(trigger)).start()
+    w = w.trigger(**trigger_kwargs(trigger))
+    return w.toTable(table) if table else w.option("path", path).start()
 
 
 def write_memory(df: DataFrame, name: str, mode: str = "complete") -> StreamingQuery:

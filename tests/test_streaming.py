@@ -110,3 +110,16 @@ def test_continuous_trigger_picks_up_new_files(spark, scratch):
         assert first == 100 and spark.read.parquet(out).count() == wire.count()
     finally:
         q.stop()
+
+
+def test_ingest_into_catalog_tables(spark, scratch):
+    src = os.path.join(scratch, "src")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS shopflow_s LOCATION '{scratch}/dbs'")
+    wire = fx.wire(spark, SF_SMALL, "shoe_orders")
+    write_messages(wire, src)
+    ingest(spark, read_messages(spark, src), "shoe_orders", sink_table="shopflow_s.shoe_orders",
+           checkpoint=os.path.join(scratch, "c1")).awaitTermination()
+    ingest(spark, read_messages(spark, src), "shoe_orders", sink_table="shopflow_s.shoe_orders_realtime",
+           checkpoint=os.path.join(scratch, "c2"), mode="append").awaitTermination()
+    assert spark.table("shopflow_s.shoe_orders").count() == wire.count()
+    assert spark.table("shopflow_s.shoe_orders_realtime").count() == wire.count()
