@@ -141,7 +141,7 @@ def prefix_at(
 
 def previous_time(
     df: DataFrame, partition: Sequence[str], time_col: str, tiebreak: Sequence[str], out: str = "prev_ts",
-    bucket_seconds: int = DAY,
+    bucket_seconds: int = DAY, source: DataFrame | None = None,
 ) -> DataFrame:
     """``LAG(time) OVER (PARTITION BY partition ORDER BY time, *tiebreak)`` as a column ``out``.
 
@@ -156,8 +156,10 @@ def previous_time(
     bucket from a window over one row per bucket.
     """
     partition = list(partition)
+    # ``source``: the rows before de-duplication, if at hand -- the per-time
+    # minimum is the same, and it need not wait for the distinct step
     firsts = (
-        df.filter(F.col(time_col).isNotNull())
+        (source if source is not None else df).filter(F.col(time_col).isNotNull())
         .groupBy(*partition, time_col)
         .agg(F.min(F.struct(*tiebreak)).alias("_first"))
         .withColumn("_bucket", F.floor(epoch_seconds(time_col) / F.lit(bucket_seconds)).cast("long"))

@@ -190,12 +190,11 @@ def interactions_before_buy(orders: DataFrame, history: DataFrame) -> DataFrame:
     never clicked that product are absent; orders with only clicks outside the
     interval show 0.  ``history`` is the V2 click history (clicks joined to shoes).
     """
-    distinct_orders = (
-        orders.filter(F.col("customer_id").isNotNull() & F.col("product_id").isNotNull())
-        .select("customer_id", "order_id", "product_id", "ts")
-        .distinct()
+    known = orders.filter(F.col("customer_id").isNotNull() & F.col("product_id").isNotNull()).select(
+        "customer_id", "order_id", "product_id", "ts"
     )
-    with_prev = previous_time(distinct_orders, ["customer_id"], "ts", ["order_id", "product_id"])
+    distinct_orders = known.distinct()
+    with_prev = previous_time(distinct_orders, ["customer_id"], "ts", ["order_id", "product_id"], source=known)
     intervals = with_prev.select(
         "customer_id", "order_id", "product_id",
         F.coalesce(truncate_to_second("prev_ts"), ntz_literal(EARLIEST)).alias("_lo"),
