@@ -15,7 +15,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopflow.functions.times import ntz_literal, truncate_to_second
+from shopflow.functions.times import epoch_micros, ntz_literal, truncate_to_second
 from shopflow.operators.joins import dimension
 
 #: fixed values of the mapping
@@ -117,7 +117,7 @@ def bronze_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 # --------------------------------------------------------------------------
 
 def _epoch_millis(ntz: Column) -> Column:
-    return F.timestamp_diff("MILLISECOND", ntz_literal(_dt.datetime(1970, 1, 1)), ntz)
+    return F.floor(epoch_micros(ntz) / F.lit(1000)).cast("long")
 
 
 def _key_bytes(n: Column) -> Column:
@@ -131,7 +131,7 @@ def _message(df: DataFrame, key: Column, topic: str, sent: Column) -> DataFrame:
         key.alias("key"),
         F.to_json(payload).cast("binary").alias("value"),
         F.lit(topic).alias("topic"),
-        F.timestamp_micros(F.timestamp_diff("MICROSECOND", ntz_literal(_dt.datetime(1970, 1, 1)), sent)).alias("timestamp"),
+        F.timestamp_micros(epoch_micros(sent)).alias("timestamp"),
     )
 
 

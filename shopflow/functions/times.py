@@ -2,11 +2,11 @@
 
 Event times are stored as ``TIMESTAMP_NTZ`` wall-clock readings in a zone chosen
 by the caller (the reference fixes Asia/Bangkok).  Conversions (epoch, zone
-shift, truncation) do not depend on ``spark.sql.session.timeZone``; the
-calendar-unit differences of :func:`elapsed` follow Spark's ``timestampdiff``,
-which reads NTZ values in the session zone, so sessions run in UTC
-(``shopflow.session`` sets it) to keep every day 24 hours long.  The reference
-time of recency columns is an explicit ``as_of`` argument instead of a hidden
+shift, truncation) and the second-to-week differences of :func:`elapsed` do not
+depend on ``spark.sql.session.timeZone``; only the month / quarter / year
+differences use Spark's ``timestampdiff``, whose calendar reading follows the
+session zone (``shopflow.session`` sets UTC).  The reference time of recency
+columns is an explicit ``as_of`` argument instead of a hidden
 ``current_timestamp()`` frozen into a snapshot.
 """
 
@@ -68,6 +68,15 @@ def epoch_seconds(col: str | Column) -> Column:
     return F.when(F.timestamp_add("SECOND", secs, epoch_ntz()) > c, secs - 1).otherwise(secs)
 
 
+def epoch_micros(col: str | Column) -> Column:
+    """Microseconds since 1970-01-01 of an NTZ wall-clock value, read as UTC
+    (no session zone involved)."""
+    c = _c(col)
+    frac = F.date_part(F.lit("SECOND"), c)  # seconds of the minute, with micros
+    micros_of_second = ((frac - F.floor(frac)) * F.lit(1_000_000)).cast("long")
+    return epoch_seconds(c) * F.lit(1_000_000) + micros_of_second
+
+
 def truncate_to_second(col: str | Column) -> Column:
     """Drop sub-second digits of an NTZ value without touching any time zone."""
     return F.timestamp_add("SECOND", epoch_seconds(col), epoch_ntz())
@@ -93,15 +102,26 @@ def shift_zone(col: str | Column, zone: str = REFERENCE_ZONE, source_zone: str =
     return F.convert_timezone(F.lit(source_zone), F.lit(zone), _c(col).cast("timestamp_ntz"))
 
 
-#: unit names accepted by ``elapsed`` -> Spark ``timestampdiff`` units
-_UNITS = {"second": "SECOND", "minute": "MINUTE", "hour": "HOUR", "day": "DAY",
-          "week": "WEEK", "month": "MONTH", "quarter": "QUARTER", "year": "YEAR"}
+#: fixed-length units of ``elapsed``, in microseconds
+_FIXED_UNITS = {"second": 1_000_000, "minute": 60_000_000, "hour": 3_600_000_000,
+                "day": 86_400_000_000, "week": 604_800_000_000}
+#: calendar units of ``elapsed`` -> Spark ``timestampdiff`` units
+_CALENDAR_UNITS = {"month": "MONTH", "quarter": "QUARTER", "year": "YEAR"}
 
 
 def elapsed(unit: str, start: str | Column, end: Column) -> Column:
     """Whole ``unit``s from ``start`` to ``end``, truncated toward zero
-    (negative when ``start`` is later) -- ``DATEDIFF(unit, start, end)``."""
-    return F.timestamp_diff(_UNITS[unit.lower()], _c(start), end)
+    (negative when ``start`` is later) -- ``DATEDIFF(unit, start, end)``.
+
+    Seconds to weeks are computed from zone-free epoch microseconds; months,
+    quarters and years use Spark's calendar ``timestampdiff``."""
+    u = unit.lower()
+    if u in _FIXED_UNITS:
+        diff = epoch_micros(end) - epoch_micros(start)
+        step = F.lit(_FIXED_UNITS[u])
+        # integer division truncating toward zero, like timestampdiff
+        return F.when(diff >= 0, F.floor(diff / step)).otherwise(-F.floor(-diff / step)).cast("long")
+    return F.timestamp_diff(_CALENDAR_UNITS[u], _c(start), end)
 
 
 def recency_columns(ts: str | Column, as_of: Column) -> list[Column]:

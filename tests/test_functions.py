@@ -107,3 +107,21 @@ def test_shift_zone_and_bounded_broadcast(spark):
     assert "broadcast" in join_plan(hinted).lower()
     assert "broadcast" not in join_plan(big).lower()
     assert dimension(small) is small
+
+
+def test_elapsed_fixed_units_match_timestampdiff_in_utc(spark):
+    import random
+
+    from shopflow.functions.times import epoch_micros
+
+    rnd = random.Random(7)
+    base = dt.datetime(2024, 1, 31)
+    rows = [(base + dt.timedelta(microseconds=rnd.randrange(-10**14, 10**14)),
+             base + dt.timedelta(microseconds=rnd.randrange(-10**12, 10**12))) for _ in range(500)]
+    rows += [(dt.datetime(1969, 12, 31, 23, 59, 59, 500000), dt.datetime(1970, 1, 1, 0, 0, 0, 250000))]
+    df = spark.createDataFrame(rows, "a timestamp_ntz, b timestamp_ntz")
+    for unit in ("second", "minute", "hour", "day", "week"):
+        bad = df.filter(elapsed(unit, "a", F.col("b")) != F.timestamp_diff(unit.upper(), "a", "b")).count()
+        assert bad == 0, unit
+    got = df.select(epoch_micros("a").alias("m")).collect()[-1].m
+    assert got == -500000
