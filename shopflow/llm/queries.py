@@ -6,8 +6,12 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shopflow.llm import exact, packing, simhash, wavelet
+from shopflow.llm import (embeddings, exact, langid, mixing, packing, rollups, sharding, simhash,
+                          warc, wavelet)
+from shopflow.llm.common import materialise, shared_path
+from shopflow.llm.tokens import vocabulary_path
 
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -25,6 +29,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.fit(docs.filter(~langid.held_out()))
+    return langid.identify(docs, model).select(
+        "doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "margin_bytes", "rejected")
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -33,6 +48,32 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(table(spark, sf_dir, "documents")).drop("from_history")
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive(table(spark, sf_dir, "pages"))
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token totals after three batches: all documents in, toxic ones out, and those of
+    quality 1 counted anew with the end-of-text id; the second batch is sent twice."""
+    docs, version, revised = table(spark, sf_dir, "documents"), "word_bpe_49k", "word_bpe_49k+end"
+    counts = rollups.count_tokens(docs.select("doc_id", "source", "lang", "text"), vocabulary_path())
+    counts = materialise(counts.withColumn("tokenizer", F.lit(version)), "token-counts")
+    labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg(
+        F.max("toxic").alias("toxic"), F.max("quality").alias("quality"))
+    labelled = counts.join(labels, "doc_id")
+    toxic = labelled.filter("toxic = 1")
+    good = labelled.filter("quality = 1 AND coalesce(toxic, 0) = 0").select(
+        *counts.columns, F.col("source").alias("new_source"), F.col("lang").alias("new_lang"),
+        F.lit(revised).alias("new_tokenizer"), (F.col("tokens") + 1).alias("new_tokens"))
+    rollup = rollups.Rollup(spark, shared_path(spark, "rollup"))
+    rollup.commit("load", rollups.inserts(counts))
+    rollup.commit("retract", rollups.deletes(toxic))
+    rollup.compact()
+    rollup.commit("revise", rollups.revisions(good))
+    rollup.commit("retract", rollups.deletes(toxic))
+    return rollup.totals()
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -41,14 +82,46 @@ def op8_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.token_files(table(spark, sf_dir, "documents"))
 
 
+def op9_rendezvous(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(table(spark, sf_dir, "documents"), [1.0] * 40)
+
+
+def op10_itq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_mixing": op1_mixing,
+    "op2_language_id": op2_language_id,
     "op3_simhash": op3_simhash,
-    "op7_exact_dedup": op7_exact_dedup,
+    "op4_warc": op4_warc,
+    "op5_token_counts": op5_token_counts,
     "op6_packing": op6_packing,
+    "op7_exact_dedup": op7_exact_dedup,
     "op8_wavelet": op8_wavelet,
+    "op9_rendezvous": op9_rendezvous,
+    "op10_itq": op10_itq,
 }
 
 ORACLE: dict[str, str] = {
+    "op1_mixing": """
+        WITH sizes AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
+        rates AS (SELECT source, (n ** 0.7) / n * (sum(n) OVER () / sum(n ** 0.7) OVER ()) AS rate FROM sizes),
+        below AS (
+            SELECT source, k, sum(exp(k * ln(rate) - rate - lgamma(k + 1))) OVER (
+                PARTITION BY source ORDER BY k ROWS UNBOUNDED PRECEDING) AS p
+            FROM rates, range(0, 200) AS ks(k)),
+        drawn AS (
+            SELECT *, CAST('0x' || substr(md5('1:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 12) AS BIGINT)
+                      / 281474976710656.0::DOUBLE AS u
+            FROM documents),
+        counted AS (
+            SELECT doc_id, (SELECT count(*) FROM below b
+                            WHERE b.source IS NOT DISTINCT FROM d.source AND b.p <= d.u) AS copies
+            FROM drawn d)
+        SELECT d.doc_id, text, lang, source, n_chars, CAST(r.k AS INTEGER) AS replica
+        FROM documents d JOIN counted c ON c.doc_id = d.doc_id, range(0, 200) AS r(k)
+        WHERE r.k < c.copies""",
     "op7_exact_dedup": r"""
         SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = min(doc_id) OVER same AS kept, text_sha256

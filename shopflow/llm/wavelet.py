@@ -205,7 +205,8 @@ def read_shards(manifest: DataFrame) -> DataFrame:
     """Every document from its file: doc_id, start (ids of all documents before it),
     n_tokens, ids_crc32, shard, position (in the shard)."""
     placed = running_start(manifest, "shard", "tokens", "start", block=1 << 20)
-    files = placed.select("shard", "path", "start").repartition(F.col("shard"))
+    parts = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    files = placed.select("shard", "path", "start").repartition(parts, F.col("shard"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
