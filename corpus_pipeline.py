@@ -1,4 +1,8 @@
-"""The corpus pipeline: stages over ``documents``, each written and read again."""
+"""The corpus pipeline: language ID, exact dedup, SimHash near-dedup, mixing, packing.
+
+Each stage takes the documents that its predecessor kept, with their columns, and
+calls one operator; its output is written as Parquet and read again.
+"""
 
 from __future__ import annotations
 
@@ -6,22 +10,55 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shopflow.llm import packing
-from shopflow.llm.common import materialise
+from shopflow.llm import exact, langid, mixing, packing, simhash
+from shopflow.llm.common import col, free_name, materialise
 from shopflow.llm.queries import import_in_workers, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Learn from the labelled documents outside the held-out fold; rejected documents go."""
+    import_in_workers(spark)
+    prefix = free_name(docs, "__language_")
+    judged = langid.identify(docs, langid.fit(docs.filter(~langid.held_out())), prefix=prefix)
+    return judged.filter(~col(prefix + "rejected")).select(*(col(c) for c in docs.columns))
+
+
+def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts the smallest doc_id stays."""
+    import_in_workers(spark)
+    return exact.drop_repeats(docs)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the smallest doc_id stays."""
+    import_in_workers(spark)
+    return simhash.drop_near_duplicates(docs)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources to the power 0.7 of their sizes; a document comes as often as it is drawn."""
+    import_in_workers(spark)
+    replica = free_name(docs, "__replica")
+    return mixing.mix(docs, replica=replica).drop(replica)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of at most 4096 ids."""
     import_in_workers(spark)
     return packing.pack(docs)
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("language ID", language_id),
+    ("exact dedup", exact_dedup),
+    ("SimHash near-dedup", near_dedup),
+    ("mixing sources to target weights", mix),
     ("packing", pack),
 ]
 
+#: compression, SimHash and the tokenizer have no SQL form; tests/llm holds a brute-force pipeline against run()
 ORACLE_SQL: str | None = None
 
 
