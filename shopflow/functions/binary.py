@@ -8,22 +8,22 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 
+@F.pandas_udf(StringType())
+def _long_keys(keys: pd.Series) -> pd.Series:
+    return pd.Series([None if k is None else str(int.from_bytes(bytes(k), "big")) for k in keys], dtype=object)
+
+
 def unsigned_decimal(col: str | Column) -> Column:
-    """Bytes read as one unsigned big-endian integer, written in decimal.
+    """Bytes of any length read as one unsigned big-endian integer, written in decimal.
 
-    JVM-only path (``conv`` of the hex digits) for keys up to 8 bytes, which
-    covers numeric Kafka keys; empty bytes give ``'0'``; NULL stays NULL.
-    Longer keys give NULL here -- use :func:`unsigned_decimal_wide`.
+    Empty bytes give ``'0'``, NULL stays NULL.  Keys up to 8 bytes are decoded
+    in the JVM (``conv`` of the hex digits); only longer ones carry their bytes
+    to Python, in Arrow batches.
     """
     c = F.col(col) if isinstance(col, str) else col
+    size = F.octet_length(c)
     return (
-        F.when(c.isNull(), F.lit(None).cast("string"))
-        .when(F.length(c) == 0, F.lit("0"))
-        .when(F.length(c) <= 8, F.conv(F.hex(c), 16, 10))
+        F.when(size == 0, F.lit("0"))
+        .when(size <= 8, F.conv(F.hex(c), 16, 10))
+        .otherwise(_long_keys(F.when(size > 8, c)))
     )
-
-
-@F.pandas_udf(StringType())
-def unsigned_decimal_wide(b: pd.Series) -> pd.Series:
-    """Any-length variant, Arrow-batched (for keys longer than 8 bytes)."""
-    return b.map(lambda x: None if x is None else str(int.from_bytes(bytes(x), "big")))

@@ -51,8 +51,9 @@ def now_in_zone(zone: str = "UTC") -> Column:
     return truncate_to_second(F.convert_timezone(None, F.lit(zone), F.current_timestamp()))
 
 
-def as_of_column(as_of: AsOf = None, zone: str = "UTC") -> Column:
-    """Reference time for recency maths; ``None`` means "now" in ``zone``."""
+def as_of_column(as_of: AsOf = None, zone: str = REFERENCE_ZONE) -> Column:
+    """Reference time for recency maths; ``None`` means "now" as a wall clock in
+    ``zone`` -- the zone of the event times it is compared with."""
     if as_of is None:
         return F.convert_timezone(None, F.lit(zone), F.current_timestamp())
     if isinstance(as_of, Column):
@@ -152,7 +153,3 @@ def month_key(ts: str | Column) -> Column:
     """``date_format(ts, 'yyyyMM')``."""
     return F.date_format(_c(ts), "yyyyMM")
 
-
-def day_of(ts: str | Column) -> Column:
-    """Calendar day of an NTZ value, as an integer day number (zone free)."""
-    return F.floor(epoch_seconds(ts) / F.lit(86400)).cast("long")

@@ -1,196 +1,61 @@
 """Interval operators that never emit all pairs of a group.
 
-The reference matches each order with every click of the same (customer,
-product) and then keeps the clicks inside [previous order, this order].  That
-join emits n x m rows for a group with n orders and m clicks, which explodes
-on a hot customer/product.  Here the same numbers come from prefix sums:
+Matching each order with every click of the same (customer, product) and then
+keeping the clicks inside [previous order, this order] emits n x m rows for a
+group with n orders and m clicks.  Here the same numbers come from running totals:
 
     sum over clicks in [lo, hi]  =  S(<= hi) - S(< lo)
 
-where S(x) is the running total of the group's clicks up to time x.  Running
-totals are computed at two time resolutions so that no window partition is
-bounded by data volume, only by the clock:
-
-* inside one (key, day) bucket, a running window over the bucket's
-  per-second rows (<= 86,400 event seconds plus the probe seconds);
-* across buckets, a running window over one pre-aggregated row per
-  (key, day) (<= the number of active days of the key).
-
-All inputs are pre-aggregated to one row per (key, second) before they are
-shuffled, so duplicates and hot keys shrink map-side.
+A window never spans a whole key.  Time is cut into buckets; each (key, bucket)
+starts with one carry row that holds what the key's earlier buckets add up to, so
+a window over one bucket already yields totals over all time.  The carry rows
+come from one pre-aggregated row per (key, active bucket).  Neither operator
+needs a join, so NULL keys form a group of their own, as in SQL's PARTITION BY.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopflow.functions.times import epoch_seconds
 
-#: seconds per first-level bucket
-DAY = 86_400
-
-_AGG = {"sum": F.sum, "max": F.max}
-
-
-def _join_keys(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str = "inner") -> DataFrame:
-    """Equi-join on ``cols`` where NULL matches NULL (as rows of one SQL
-    ``PARTITION BY`` group do); output has ``left``'s columns then the rest."""
-    r = right.select(*[F.col(c).alias(f"_r_{c}") if c in cols else F.col(c) for c in right.columns])
-    cond = [F.col(f"_l.{c}").eqNullSafe(F.col(f"_r.{f'_r_{c}'}")) for c in cols]
-    joined = left.alias("_l").join(r.alias("_r"), cond, how)
-    return joined.select(
-        *[F.col(f"_l.{c}").alias(c) for c in left.columns],
-        *[F.col(f"_r.{c}").alias(c) for c in right.columns if c not in cols],
-    )
+#: seconds per bucket
+HOUR = 3_600
 
 
-def _combine(how: str, before: Column, inside: Column) -> Column:
-    if how == "sum":
-        return F.coalesce(before, F.lit(0)) + F.coalesce(inside, F.lit(0))
-    return F.greatest(before, inside)  # greatest skips NULLs
-
-
-def _scan(rows: DataFrame, keys: list[str], time_col: str, measures: Mapping[str, str],
-          carry: Sequence[str], bucket_seconds: int, key_total: str | None = None) -> DataFrame:
-    """Two-level running aggregate over ``rows`` (events ``_rank`` 1, probes 0/2).
-
-    Returns the probe rows with each measure aggregated over the events of
-    the same keys that sort before them (time, then ``_rank``), and with
-    ``key_total`` (when given) = the sum of the events' ``_cnt`` over all
-    times of the key, events with a NULL time included.
-    """
-    names = list(measures)
-    totals = names + (["_cnt"] if key_total else [])
-    rows = rows.withColumn(
-        "_bucket", F.floor(epoch_seconds(time_col) / F.lit(bucket_seconds)).cast("long")
-    )
-    # within a bucket: 'lo' probes sort before the events of their second, 'hi' after
-    ordered = Window.partitionBy(*keys, "_bucket").orderBy(time_col, "_rank")
-    running = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    # one window operator yields the running values, the bucket totals and a
-    # last-row marker, so both branches below read the same shuffle
-    scanned = rows.select(
-        *keys, time_col, "_rank", "_bucket", *carry,
-        *[_AGG[measures[m]](m).over(running).alias(f"_in_{m}") for m in names],
-        *[_AGG[measures.get(m, "sum")](m).over(whole).alias(f"_tot_{m}") for m in totals],
-        F.lead(F.lit(1)).over(ordered).isNull().alias("_last"),
-    )
-    # across buckets: totals of the strictly earlier buckets of the key (events
-    # without a time sit in a NULL bucket that only counts toward key_total)
-    by_bucket = Window.partitionBy(*keys).orderBy("_bucket")
-    earlier = by_bucket.rowsBetween(Window.unboundedPreceding, -1)
-    everything = by_bucket.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    timed = F.col("_bucket").isNotNull()
-    before = scanned.filter(F.col("_last")).select(
-        *keys, "_bucket",
-        *[_AGG[measures[m]](F.when(timed, F.col(f"_tot_{m}"))).over(earlier).alias(f"_pre_{m}") for m in names],
-        *([F.sum("_tot__cnt").over(everything).alias(key_total)] if key_total else []),
-    )
-    hits = _join_keys(scanned.filter(F.col("_rank") != 1), before, [*keys, "_bucket"])
-    return hits.select(
-        *keys, time_col, "_rank", *carry,
-        *[_combine(measures[m], F.col(f"_pre_{m}"), F.col(f"_in_{m}")).alias(m) for m in names],
-        *([key_total] if key_total else []),
-    )
-
-
-def prefix_at(
-    events: DataFrame,
-    probes: DataFrame,
-    keys: Sequence[str],
-    time_col: str,
-    measures: Mapping[str, str],
-    side_col: str = "side",
-    bucket_seconds: int = DAY,
-    key_total: str | None = None,
-) -> DataFrame:
-    """Aggregates of ``events`` before each probe point.
-
-    ``events``: ``keys``, ``time_col`` and the ``measures`` columns.
-    ``probes``: ``keys``, ``time_col`` and ``side_col`` with values
-    ``'lo'`` (strictly before the probe time) or ``'hi'`` (up to and including
-    it).  ``measures`` maps a column to ``'sum'`` (0 when nothing is before)
-    or ``'max'`` (NULL when nothing is before).  Events or probes with a NULL
-    time take no part -- except in ``key_total``, which (when named) is added
-    as the number of event rows of the probe's keys at any time.
-
-    Returns one row per distinct probe: ``keys, time_col, side_col, *measures``.
-    """
-    keys = list(keys)
-    names = list(measures)
-    src = events if key_total else events.filter(F.col(time_col).isNotNull())
-    ev = src.groupBy(*keys, time_col, F.lit(1).alias("_rank")).agg(
-        *[_AGG[measures[m]](m).alias(m) for m in names], *([F.count(F.lit(1)).alias("_cnt")] if key_total else [])
-    )
-    pr = probes.select(
-        *keys, time_col, F.when(F.col(side_col) == "lo", F.lit(0)).otherwise(F.lit(2)).alias("_rank")
-    ).filter(F.col(time_col).isNotNull()).distinct()
-    # probes carry NULL measures: they read the running values without adding to them
-    hits = _scan(ev.unionByName(pr, allowMissingColumns=True), keys, time_col, measures, [], bucket_seconds, key_total)
-    return hits.select(
-        *keys, time_col,
-        F.when(F.col("_rank") == 0, F.lit("lo")).otherwise(F.lit("hi")).alias(side_col),
-        *names,
-        *([key_total] if key_total else []),
-    )
+def _bucket(time_col: str, seconds: int) -> Column:
+    return F.floor(epoch_seconds(time_col) / F.lit(seconds)).cast("long")
 
 
 def previous_time(
     df: DataFrame, partition: Sequence[str], time_col: str, tiebreak: Sequence[str], out: str = "prev_ts",
-    bucket_seconds: int = DAY, source: DataFrame | None = None,
+    bucket_seconds: int = HOUR,
 ) -> DataFrame:
     """``LAG(time) OVER (PARTITION BY partition ORDER BY time, *tiebreak)`` as a column ``out``.
 
-    Rows must be distinct on (partition, time, tiebreak).  The first row of a
-    time value takes the latest earlier time of its partition; the other rows of
-    the same time take that time itself.  Rows with a NULL time get NULL, and
-    so does the first row after them, as with NULLS FIRST ordering.
-
-    No window spans a whole partition: the distinct times of a partition are
-    lagged inside (partition, day) buckets (<= 86,400 rows each), and the first
-    time of a bucket takes the last time of the partition's previous active
-    bucket from a window over one row per bucket.
+    Rows must be distinct on (partition, time, tiebreak).  Rows with a NULL time
+    get NULL, and so does the first row after them, as with NULLS FIRST ordering.
+    The carry row of a bucket is the last time of the partition's previous
+    active bucket.
     """
     partition = list(partition)
-    # ``source``: the rows before de-duplication, if at hand -- the per-time
-    # minimum is the same, and it need not wait for the distinct step
-    firsts = (
-        (source if source is not None else df).filter(F.col(time_col).isNotNull())
-        .groupBy(*partition, time_col)
-        .agg(F.min(F.struct(*tiebreak)).alias("_first"))
-        .withColumn("_bucket", F.floor(epoch_seconds(time_col) / F.lit(bucket_seconds)).cast("long"))
-    )
-    ordered = Window.partitionBy(*partition, "_bucket").orderBy(time_col)
-    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    scanned = firsts.select(
-        *partition, time_col, "_first", "_bucket",
-        F.lag(time_col).over(ordered).alias("_prev_in"),
-        F.max(time_col).over(whole).alias("_bucket_max"),
-        F.lead(F.lit(1)).over(ordered).isNull().alias("_last"),
-    )
+    rows = df.withColumn("_bucket", _bucket(time_col, bucket_seconds))
+    last = rows.filter(F.col(time_col).isNotNull()).groupBy(*partition, "_bucket").agg(
+        F.max(time_col).alias("_max"))
     by_bucket = Window.partitionBy(*partition).orderBy("_bucket")
-    before = scanned.filter(F.col("_last")).select(
-        *partition, "_bucket", F.lag("_bucket_max").over(by_bucket).alias("_prev_bucket")
-    )
-    info = _join_keys(scanned, before, [*partition, "_bucket"]).select(
-        *partition, time_col, "_first", F.coalesce(F.col("_prev_in"), F.col("_prev_bucket")).alias("_prev")
-    )
-    joined = _join_keys(df, info, [*partition, time_col], "left")
-    is_first = F.struct(*[F.col(c) for c in tiebreak]) == F.col("_first")
-    return joined.select(
-        *df.columns,
-        F.when(F.col(time_col).isNull(), F.lit(None))
-        .when(is_first, F.col("_prev"))
-        .otherwise(F.col(time_col))
-        .alias(out),
-    )
+    carry = last.select(*partition, "_bucket", F.lag("_max").over(by_bucket).alias(time_col),
+                        F.lit(0).alias("_row"))
+    ordered = Window.partitionBy(*partition, "_bucket").orderBy("_row", time_col, *tiebreak)
+    lagged = rows.withColumn("_row", F.lit(1)).unionByName(carry, allowMissingColumns=True).withColumn(
+        out, F.lag(time_col).over(ordered))
+    return lagged.filter(F.col("_row") == 1).select(
+        *df.columns, F.when(F.col(time_col).isNotNull(), F.col(out)).alias(out))
 
 
-def signed_interval_sums(
+def interval_totals(
     intervals: DataFrame,
     events: DataFrame,
     keys: Sequence[str],
@@ -198,61 +63,50 @@ def signed_interval_sums(
     hi: str,
     time_col: str,
     measures: Sequence[str],
-    key_total: str | None = None,
+    group: Sequence[str],
+    key_total: str = "_all",
+    bucket_seconds: int = HOUR,
 ) -> DataFrame:
-    """Two signed rows per interval whose sum is the interval's total.
+    """Per ``group`` of interval rows, the sums of the BIGINT ``measures`` over the events of
+    the same ``keys`` with ``lo <= time <= hi``, added up over its intervals.
 
-    For every interval row: a ``'hi'`` row with the sums of ``measures`` over
-    the events of the same ``keys`` up to ``hi`` and a ``'lo'`` row with minus
-    the sums strictly before ``lo``; both are 0 when a bound is NULL.  Summed
-    over any grouping made of whole intervals, they give the sums over
-    ``lo <= time <= hi``.  ``key_total`` (when named) is carried on the
-    ``'lo'`` row only: the number of event rows of the keys at any time.
-
-    Probe points are de-duplicated before the scan, so a hot key costs at
-    most one probe per (key, second, side); the rows come back through one
-    many-to-one equi-join (AQE splits a skewed side).
+    An interval with a NULL bound holds no event.  ``key_total`` is the number
+    of events of the keys at any time (NULL times too), added up likewise.  Events
+    are first reduced to one row per (keys, second).
     """
-    keys = list(keys)
-    sides = intervals.select(
-        *intervals.columns,
-        F.inline(F.array(
-            F.struct(F.col(lo).alias("_pt"), F.lit("lo").alias("_side")),
-            F.struct(F.col(hi).alias("_pt"), F.lit("hi").alias("_side")),
-        )),
-    )
-    probes = sides.select(*keys, F.col("_pt").alias(time_col), F.col("_side").alias("side"))
-    pre = prefix_at(events, probes, keys, time_col, {m: "sum" for m in measures}, key_total=key_total)
-    pre = pre.select(
-        *keys, F.col(time_col).alias("_pt"), F.col("side").alias("_side"),
-        *[F.col(m).alias(f"_v_{m}") for m in measures], *([key_total] if key_total else []),
-    )
-    joined = _join_keys(sides, pre, [*keys, "_pt", "_side"], "left")
+    keys, extra = list(keys), [g for g in group if g not in keys]
+    timed = F.col(time_col).isNotNull()
+    per_second = events.groupBy(*keys, time_col).agg(
+        *[F.sum(m).alias(m) for m in measures], F.count(F.lit(1)).alias("_count"))
+    per_second = per_second.select(
+        *keys, time_col, F.lit(1).alias("_row"), "_count",
+        *[F.when(timed, F.col(m)).otherwise(F.lit(0)).alias(m) for m in measures])
     bounded = F.col(lo).isNotNull() & F.col(hi).isNotNull()
-    sign = F.when(F.col("_side") == "hi", F.lit(1)).otherwise(F.lit(-1))
-    out = [
-        F.when(bounded, sign * F.coalesce(F.col(f"_v_{m}"), F.lit(0))).otherwise(F.lit(0)).alias(m)
-        for m in measures
-    ]
-    if key_total:
-        out.append(F.when(F.col("_side") == "lo", F.coalesce(F.col(key_total), F.lit(0))).otherwise(F.lit(0))
-                   .cast("long").alias(key_total))
-    return joined.select(*intervals.columns, F.col("_side").alias("side"), *out)
 
+    def probe(bound: str, row: int, sign: int) -> Column:
+        # a 'lo' probe sorts before the events of its second, a 'hi' probe after them
+        return F.struct(F.when(bounded, F.col(bound)).alias(time_col), F.lit(row).alias("_row"),
+                        F.when(bounded, F.lit(sign)).otherwise(F.lit(0)).alias("_sign"))
 
-def interval_sums(
-    intervals: DataFrame,
-    events: DataFrame,
-    keys: Sequence[str],
-    lo: str,
-    hi: str,
-    time_col: str,
-    measures: Sequence[str],
-) -> DataFrame:
-    """Add to every interval row the sums of ``measures`` over the events of
-    the same ``keys`` with ``lo <= time <= hi`` (0 when a bound is NULL).
+    probes = intervals.select(*keys, *extra, F.inline(F.array(probe(lo, 0, -1), probe(hi, 2, 1))))
+    rows = per_second.unionByName(probes, allowMissingColumns=True).withColumn(
+        "_bucket", _bucket(time_col, bucket_seconds))
 
-    Interval rows must be distinct (they are grouped back by all columns).
-    """
-    signed = signed_interval_sums(intervals, events, keys, lo, hi, time_col, measures)
-    return signed.groupBy(*intervals.columns).agg(*[F.sum(m).alias(m) for m in measures])
+    totals = rows.groupBy(*keys, "_bucket").agg(
+        *[F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in measures], F.sum("_count").alias("_count"))
+    by_bucket = Window.partitionBy(*keys).orderBy("_bucket")
+    earlier = by_bucket.rowsBetween(Window.unboundedPreceding, -1)
+    whole = by_bucket.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    carry = totals.select(
+        *keys, "_bucket", F.lit(-1).alias("_row"), *[F.sum(m).over(earlier).alias(m) for m in measures],
+        F.sum("_count").over(whole).alias(key_total))
+    running = Window.partitionBy(*keys, "_bucket").orderBy(time_col, "_row").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    scanned = rows.unionByName(carry, allowMissingColumns=True).select(
+        *keys, *extra, "_row", "_sign",
+        *[F.sum(m).over(running).alias(m) for m in measures], F.max(key_total).over(running).alias(key_total))
+    found = scanned.filter(F.col("_sign").isNotNull())
+    return found.groupBy(*group).agg(
+        *[F.sum(F.col("_sign") * F.coalesce(F.col(m), F.lit(0))).cast("long").alias(m) for m in measures],
+        F.sum(F.when(F.col("_row") == 0, F.coalesce(F.col(key_total), F.lit(0))).otherwise(F.lit(0)))
+        .cast("long").alias(key_total))

@@ -1,16 +1,9 @@
 """Join helpers.
 
-No join side is ever broadcast unconditionally.  Two size checks exist:
-
-* default (``dimension(df)``): no hint.  Spark broadcasts a side only when its
-  estimated size is under ``spark.sql.autoBroadcastJoinThreshold``, and AQE
-  decides again from the *measured* shuffle output
-  (``spark.sql.adaptive.autoBroadcastJoinThreshold``); otherwise it plans a
-  sort-merge join and AQE splits skewed partitions of the large side.  No
-  extra job.
-* ``bounded_broadcast(df, max_rows)``: an explicit proof for sides whose size
-  the planner cannot estimate -- the side is counted up to ``max_rows + 1``
-  rows (an early-stopping job) and hinted only when within the bound.
+No join side is ever broadcast unconditionally: Spark broadcasts a side only
+when its estimated size is under ``spark.sql.autoBroadcastJoinThreshold``, AQE
+decides again from the measured shuffle output, and otherwise a sort-merge join
+runs whose skewed partitions AQE splits.
 """
 
 from __future__ import annotations
@@ -18,21 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: default bound for dimension tables (rows); ~100 bytes/row -> ~100 MB per executor
-DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df``."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def dimension(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """A dimension side of a join: Spark's size-based choice by default, or an
-    explicit row-bound proof when ``max_rows`` is given."""
-    return df if max_rows is None else bounded_broadcast(df, max_rows)
-
 
 def key_multiplicity(df: DataFrame, key: str, alias: str = "mult") -> DataFrame:
     """Rows per key of a dimension: joining this instead of the dimension keeps

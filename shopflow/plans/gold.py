@@ -9,17 +9,18 @@ Scale notes (each function repeats the ones that matter to it):
   (one narrow row per key) instead of the dimension itself;
 * per-group rankings run over per-(group, item) aggregates, so a window
   partition is bounded by the catalogue, not by the traffic;
-* the interval query uses prefix sums (``operators.interval``) instead of the
-  reference's orders x clicks join.
+* the interval query uses running totals (``operators.interval``) instead of an
+  orders x clicks join.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopflow.functions.times import (
     EARLIEST,
+    REFERENCE_ZONE,
     AsOf,
     as_of_column,
     ntz_literal,
@@ -27,10 +28,11 @@ from shopflow.functions.times import (
     truncate_to_second,
     within_days,
 )
-from shopflow.operators.interval import previous_time, signed_interval_sums
-from shopflow.operators.joins import dimension, key_multiplicity
+from shopflow.operators.interval import interval_totals, previous_time
+from shopflow.operators.joins import key_multiplicity
 from shopflow.operators.ranking import top_n_columns
 
+#: output columns (fixed values)
 CUSTOMER_PROFILE = (
     "first_name", "last_name", "email", "phone", "street_address",
     "state", "zip_code", "country", "country_code",
@@ -47,7 +49,7 @@ def intent_history(history: DataFrame, orders: DataFrame, shoes: DataFrame) -> D
     """``cust_intent_history``: per (user, shoe, brand) the average and total
     view time and the clicks (clicks of unknown products dropped), plus the
     number of times the user bought the shoe (0 when never)."""
-    s = dimension(shoes.select("id", "brand"))
+    s = shoes.select("id", "brand")
     per_pair = history.groupBy("user_id", "product_id").agg(
         F.sum("view_time").alias("_tv"), F.count("view_time").alias("_nv"), _count().alias("_n")
     )
@@ -56,7 +58,7 @@ def intent_history(history: DataFrame, orders: DataFrame, shoes: DataFrame) -> D
         .groupBy("user_id", F.col("id").alias("shoes_id"), "brand")
         .agg(F.sum("_tv").alias("_tv"), F.sum("_nv").alias("_nv"), F.sum("_n").alias("_n"))
     )
-    mult = dimension(key_multiplicity(shoes, "id"))
+    mult = key_multiplicity(shoes, "id")
     bought = (
         orders.groupBy("customer_id", "product_id").agg(_count().alias("_b"))
         .join(mult, F.col("product_id") == F.col("id"))
@@ -96,18 +98,18 @@ def interest_profile(history: DataFrame, intent: DataFrame, which: str = "first"
     else:
         raise ValueError(f"which must be 'first' or 'last', not {which!r}")
     first = history.groupBy("user_id").agg(hours.alias("latest_interact_hour"))
-    per_brand = intent.groupBy("user_id", "brand").agg(F.sum("buy_count").alias("buy_count"))
-    top = top_n_columns(
-        per_brand, "user_id", "brand",
-        [F.col("buy_count").desc(), F.col("brand").asc()],
-        ["most_interest_brand", "second_interest_brand"],
-    )
-    totals = intent.groupBy("user_id").agg(
+    # one aggregate per (user, brand) gives the ranking and, one step on, the totals
+    per_brand = intent.groupBy("user_id", "brand").agg(
+        *[F.sum(c).alias(c) for c in ("buy_count", "total_view_time", "click_count")])
+    rank = F.row_number().over(Window.partitionBy("user_id").orderBy(F.col("buy_count").desc(), F.col("brand").asc()))
+    per_user = per_brand.withColumn("_rank", rank).groupBy("user_id").agg(
+        F.min(F.when(F.col("_rank") == 1, F.col("brand"))).alias("most_interest_brand"),
+        F.min(F.when(F.col("_rank") == 2, F.col("brand"))).alias("second_interest_brand"),
         F.sum("total_view_time").alias("total_view_time"),
         F.sum("click_count").alias("click_count"),
         F.sum("buy_count").alias("total_buy"),
     )
-    return first.join(top, "user_id").join(totals, "user_id").select(
+    return first.join(per_user, "user_id").select(
         "user_id", "latest_interact_hour", "most_interest_brand", "second_interest_brand",
         "total_view_time", "click_count", "total_buy",
     )
@@ -118,7 +120,7 @@ def interest_profile(history: DataFrame, intent: DataFrame, which: str = "first"
 def top_sellers(orders: DataFrame, shoes: DataFrame) -> DataFrame:
     """``top_sell_product``: orders per shoe; orders of unknown shoes dropped."""
     per_product = orders.groupBy("product_id").agg(_count().alias("_n"))
-    s = dimension(shoes)
+    s = shoes
     return (
         per_product.join(s, per_product["product_id"] == s["id"])
         .groupBy(F.col("product_id").alias("shoes_id"), "brand", "sale_price", "rating")
@@ -140,7 +142,7 @@ def top_sellers_all_time(orders: DataFrame, customers: DataFrame, shoes: DataFra
         "product_id", (F.col("_n") * F.coalesce(F.col("mult"), F.lit(1))).alias("_w")
     )
     per_product = weighted.groupBy("product_id").agg(F.sum("_w").alias("_w"))
-    s = dimension(shoes)
+    s = shoes
     return (
         per_product.join(s, per_product["product_id"] == s["id"], "left")
         .groupBy(F.col("id").alias("shoes_id"), "brand", "name", "sale_price", "rating")
@@ -155,27 +157,38 @@ def top_sellers_from_transactions(transactions: DataFrame) -> DataFrame:
     )
 
 
-def customer_order_history(transactions: DataFrame) -> DataFrame:
+def customer_order_history(orders: DataFrame, customers: DataFrame, shoes: DataFrame) -> DataFrame:
     """``customer_order_history``: rows of ``orders_transction`` per
-    (order time, customer, product, brand, name)."""
-    return transactions.groupBy("shoe_orders_ts", "customer_id", "product_id", "brand", "name").agg(
-        _count().alias("bought_count")
+    (order time, customer, product, brand, name).
+
+    Orders are counted first; customers add only their key multiplicity."""
+    per = orders.groupBy("ts", "customer_id", "product_id").agg(_count().alias("_n"))
+    mult = key_multiplicity(customers, "id")
+    weighted = per.join(mult, per["customer_id"] == mult["id"], "left").select(
+        "ts", "customer_id", "product_id", (F.col("_n") * F.coalesce(F.col("mult"), F.lit(1))).alias("_w"))
+    s = shoes.select("id", "brand", "name")
+    return (
+        weighted.join(s, weighted["product_id"] == s["id"], "left")
+        .groupBy(F.col("ts").alias("shoe_orders_ts"), "customer_id", "product_id", "brand", "name")
+        .agg(F.sum("_w").alias("bought_count"))
     )
 
 
 # ---------------------------------------------------------------- recency
 
-def clicks_within_days(history: DataFrame, as_of: AsOf = None, days: int = 7) -> DataFrame:
+def clicks_within_days(history: DataFrame, as_of: AsOf = None, days: int = 7,
+                       zone: str = REFERENCE_ZONE) -> DataFrame:
     """``click_within_week_view``: view time per (user, product) over clicks
     less than ``days`` whole days before ``as_of`` (later clicks included)."""
-    recent = history.filter(within_days("ts", as_of_column(as_of), days))
+    recent = history.filter(within_days("ts", as_of_column(as_of, zone), days))
     return recent.groupBy("user_id", "product_id").agg(F.sum("view_time").alias("view_time"))
 
 
-def recent_clicks(history: DataFrame, ts_col: str = "shoe_clickstream_ts", as_of: AsOf = None, minutes: int = 15) -> DataFrame:
+def recent_clicks(history: DataFrame, ts_col: str = "shoe_clickstream_ts", as_of: AsOf = None, minutes: int = 15,
+                  zone: str = REFERENCE_ZONE) -> DataFrame:
     """``real_time_click_stream_15_minutes``: history rows with
     ``ts >= as_of - minutes`` (inclusive, no upper bound)."""
-    return history.filter(since(ts_col, as_of_column(as_of), minutes))
+    return history.filter(since(ts_col, as_of_column(as_of, zone), minutes))
 
 
 # ---------------------------------------------------------------- interval
@@ -190,17 +203,16 @@ def interactions_before_buy(orders: DataFrame, history: DataFrame) -> DataFrame:
     never clicked that product are absent; orders with only clicks outside the
     interval show 0.  ``history`` is the V2 click history (clicks joined to shoes).
     """
-    known = orders.filter(F.col("customer_id").isNotNull() & F.col("product_id").isNotNull()).select(
-        "customer_id", "order_id", "product_id", "ts"
-    )
-    distinct_orders = known.distinct()
-    with_prev = previous_time(distinct_orders, ["customer_id"], "ts", ["order_id", "product_id"], source=known)
-    intervals = with_prev.select(
+    # an order of an unknown (NULL) product still ends the interval of the next order
+    placed = orders.filter(F.col("customer_id").isNotNull()).select(
+        "customer_id", "order_id", "product_id", "ts").distinct()
+    intervals = previous_time(placed, ["customer_id"], "ts", ["order_id", "product_id"]).filter(
+        F.col("product_id").isNotNull()).select(
         "customer_id", "order_id", "product_id",
         F.coalesce(truncate_to_second("prev_ts"), ntz_literal(EARLIEST)).alias("_lo"),
         truncate_to_second("ts").alias("_hi"),
     )
-    clicks = history.select(
+    clicks = history.filter(F.col("user_id").isNotNull()).select(
         F.col("user_id").alias("customer_id"),
         F.col("shoes_id").alias("product_id"),
         F.col("shoe_clickstream_ts").alias("_t"),
@@ -210,12 +222,8 @@ def interactions_before_buy(orders: DataFrame, history: DataFrame) -> DataFrame:
     )
     # _all: every joined click row of the pair, any time (NULL times too) --
     # it decides whether the order appears at all, and the NULL rule below
-    signed = signed_interval_sums(
-        intervals, clicks, ["customer_id", "product_id"], "_lo", "_hi", "_t", ["_n", "_nv", "_s"], key_total="_all"
-    )
-    per_order = signed.groupBy("customer_id", "order_id").agg(
-        *[F.sum(c).alias(c) for c in ("_all", "_n", "_nv", "_s")]
-    )
+    per_order = interval_totals(intervals, clicks, ["customer_id", "product_id"], "_lo", "_hi", "_t",
+                                ["_n", "_nv", "_s"], ["customer_id", "order_id"], "_all")
     # the reference sums view_time over in-interval rows and 0 elsewhere:
     # NULL only when every joined row is in the interval with a NULL view_time
     return per_order.filter(F.col("_all") > 0).select(

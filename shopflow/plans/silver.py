@@ -1,7 +1,7 @@
 """Silver layer: enriched history tables.
 
 Inputs are bronze-shaped DataFrames (``shopflow.schemas``); ``as_of`` is the
-reference time of the recency columns (``None`` = now).
+reference time of the recency columns (``None`` = now, as a wall clock in ``zone``).
 """
 
 from __future__ import annotations
@@ -10,24 +10,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopflow.functions.columns import prefixed_columns
-from shopflow.functions.times import AsOf, as_of_column, month_key, recency_columns
-from shopflow.operators.joins import dimension
+from shopflow.functions.times import REFERENCE_ZONE, AsOf, as_of_column, month_key, recency_columns
 
 
-def click_history_v1(clicks: DataFrame, as_of: AsOf = None) -> DataFrame:
+def click_history_v1(clicks: DataFrame, as_of: AsOf = None,
+                     zone: str = REFERENCE_ZONE) -> DataFrame:
     """First-generation ``cust_click_stream_history``: every click (orphan
     products kept) plus hours / days / months since the click."""
-    ref = as_of_column(as_of)
+    ref = as_of_column(as_of, zone)
     return clicks.select(*clicks.columns, *recency_columns("ts", ref))
 
 
-def click_history_v2(clicks: DataFrame, shoes: DataFrame, as_of: AsOf = None) -> DataFrame:
+def click_history_v2(clicks: DataFrame, shoes: DataFrame, as_of: AsOf = None,
+                     zone: str = REFERENCE_ZONE) -> DataFrame:
     """Second-generation ``cust_click_stream_history``: clicks joined to their
     shoe (inner), ``arrive_dt`` dropped, ``ts``/``id`` renamed with the table
     prefix, plus the recency columns."""
-    ref = as_of_column(as_of)
+    ref = as_of_column(as_of, zone)
     cs = clicks.alias("cs")
-    s = dimension(shoes).alias("s")
+    s = shoes.alias("s")
     cols = prefixed_columns("cs", clicks.columns, "shoe_clickstream", exclude=["arrive_dt"]) + prefixed_columns(
         "s", shoes.columns, "shoes", exclude=["arrive_dt"]
     )
@@ -44,7 +45,7 @@ def _star(orders: DataFrame, customers: DataFrame, shoes: DataFrame) -> DataFram
     customer id, with AQE splitting a hot customer's partition of the orders
     side.
     """
-    so, cs, c = orders.alias("so"), customers.alias("cs"), dimension(shoes).alias("c")
+    so, cs, c = orders.alias("so"), customers.alias("cs"), shoes.alias("c")
     return so.join(cs, F.col("so.customer_id") == F.col("cs.id"), "left").join(
         c, F.col("so.product_id") == F.col("c.id"), "left"
     )

@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import os
+import re
+import tempfile
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
 
-#: settings every shopflow job relies on; anything already set on the cluster wins
+#: results depend on it: month, quarter and year differences read the session zone
+FIXED_CONF = {"spark.sql.session.timeZone": "UTC"}
+
+#: defaults; whatever is set on the cluster or the command line stays
 DEFAULT_CONF = {
-    # event times are wall-clock readings; pin the session clock for recency maths
-    "spark.sql.session.timeZone": "UTC",
     # runtime re-planning: coalesce small shuffle partitions, split skewed join
     # partitions, switch a join to broadcast only when the measured side is small
     "spark.sql.adaptive.enabled": "true",
@@ -37,29 +41,42 @@ def get_session(
     core's memory at the target scale (e.g. input bytes / 128 MB); AQE then
     coalesces the partitions that turn out small.
     """
-    builder = SparkSession.builder.appName(app_name)
-    if master:
-        builder = builder.master(master)
-    settings = dict(DEFAULT_CONF)
+    SparkContext._ensure_initialized()  # so that SparkConf shows what was given outside
+    given = SparkConf()
+    settings = {k: v for k, v in DEFAULT_CONF.items() if not given.contains(k)} | FIXED_CONF
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     settings.update(conf or {})
-    for k, v in settings.items():
-        builder = builder.config(k, v)
-    return builder.getOrCreate()
+    builder = SparkSession.builder.appName(app_name)
+    if master:
+        builder = builder.master(master)
+    return builder.config(map=settings).getOrCreate()
+
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+
+def import_in_workers(spark: SparkSession) -> None:
+    """Let Python workers import this package where it is not installed (local runs)."""
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if ROOT not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [*paths, ROOT]))
 
 
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """The shared folder for checkpoints and lineage-cutting tables.
 
     Read from ``spark.checkpoint.dir`` (set by the cluster).  Only when it is
-    unset, as in local tests, ``fallback`` is installed and returned.
+    unset, ``fallback`` is installed and returned; without one, a session in
+    one JVM (``local[n]``) gets a scratch folder and any other is refused.
     """
-    configured = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured
     if fallback is None:
-        raise RuntimeError("spark.checkpoint.dir is not set; pass a shared folder as fallback")
+        if re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master) is None:
+            raise RuntimeError("spark.checkpoint.dir is not set; pass a shared folder as fallback")
+        fallback = tempfile.mkdtemp(prefix="shopflow-checkpoints-")
     spark.sparkContext.setCheckpointDir(fallback)
     return fallback
 

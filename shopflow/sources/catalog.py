@@ -31,6 +31,8 @@ def snapshot(df: DataFrame, name: str, fmt: str = "parquet", partition_by: list[
 
     A written table also cuts the lineage of a long chain of transformations.
     """
+    if partition_by:  # few files per partition value; a large value is split
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.mode("overwrite").format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)

@@ -15,12 +15,19 @@ from pyspark.sql import DataFrame, SparkSession
 #: JAAS login module of the open-source Kafka client
 PLAIN_LOGIN_MODULE = "org.apache.kafka.common.security.plain.PlainLoginModule"
 
-# fixed values: option names of the INI section read by StreamConfig.from_ini
-# (kept as written in existing deployment config files)
+# fixed values: option names of the INI section read by StreamConfig.from_ini, as
+# written in existing deployment config files (names are read in any case)
 INI_BOOTSTRAP = "bootstrap_server"
 INI_API_KEY = "confluentApiKey"
 INI_API_SECRET = "confluentSecret"
-INI_TOPIC_PREFIX = "TopicName_"
+INI_TOPICS = {
+    "customers": "TopicName_customers",
+    "shoes": "TopicName_shoes",
+    "shoe_clickstream": "TopicName_clickstream",
+    "shoe_orders": "TopicName_shoe_orders",
+}
+#: topic of the smoke table, which has no option
+SMOKE_TOPICS = {"shoes_test": "dummy-test"}
 
 
 @dataclass(frozen=True)
@@ -30,7 +37,7 @@ class StreamConfig:
     bootstrap_servers: str
     topic: str
     api_key: str | None = None
-    api_secret: str | None = None
+    api_secret: str | None = field(default=None, repr=False)
     starting_offsets: str = "earliest"
     fail_on_data_loss: bool = False
     login_module: str = PLAIN_LOGIN_MODULE
@@ -39,15 +46,15 @@ class StreamConfig:
     @classmethod
     def from_ini(cls, path: str, section: str, table: str, **kw) -> StreamConfig:
         """Read the bootstrap server, API key and secret and the topic of
-        ``table`` from an INI section (option names: the fixed values above)."""
-        cp = configparser.ConfigParser()
-        cp.optionxform = str  # keep key case
+        ``table`` from an INI section (option names: the fixed values above;
+        a table without an option of its own, such as the smoke table, has a fixed topic)."""
+        cp = configparser.ConfigParser(interpolation=None)
         if not cp.read(path):
             raise FileNotFoundError(path)
         sec = cp[section]
         return cls(
             bootstrap_servers=sec[INI_BOOTSTRAP],
-            topic=sec[f"{INI_TOPIC_PREFIX}{table}"],
+            topic=SMOKE_TOPICS[table] if table in SMOKE_TOPICS else sec[INI_TOPICS[table]],
             api_key=sec.get(INI_API_KEY),
             api_secret=sec.get(INI_API_SECRET),
             **kw,

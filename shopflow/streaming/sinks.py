@@ -1,62 +1,128 @@
 """Streaming sinks and triggers.
 
 ``complete`` mode rewrites the whole result every micro-batch (the reference's
-choice): the file sink refuses complete mode, so the rewrite goes through
-``foreachBatch`` + ``write.mode("overwrite")`` -- idempotent, since a retried
-batch rewrites the same full result.  Cost grows with history, not with the
-batch.
+choice; cost grows with history): each batch writes a new version beside the
+current one, then a pointer is swapped in one step, so a reader always sees one whole version
+and a crash leaves the last one.  For a folder the pointer is the file ``_CURRENT``
+(``read_current`` follows it), for a table it is a view of the version's table.
 
-``append`` mode keeps state bounded: rows are emitted once the watermark
-passes them and the state for them is dropped.
+``update`` mode writes only the payloads that a batch changed, as one slice per
+batch; ``read_updates`` keeps each payload's latest times.  A repeated batch
+overwrites its own slice.
+
+``append`` mode writes rows once, through the file sink's commit log.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from shopflow.functions.columns import payload_columns
+from shopflow.operators.dedup import latest_by_payload
+
+POINTER = "_CURRENT"
+
 
 def trigger_kwargs(trigger: str | None) -> dict:
     """``"availableNow"`` (process what is there, then stop; replaces the
     deprecated ``once``), ``"once"``, ``None`` (default micro-batches, run until
     stopped) or a processing-time interval such as ``"30 seconds"``."""
-    if trigger is None or trigger == "continuous":
+    if trigger is None:
         return {}
-    if trigger == "availableNow":
-        return {"availableNow": True}
-    if trigger == "once":
+    if trigger in ("availableNow", "once"):
         return {"availableNow": True}
+    number, _, unit = trigger.strip().partition(" ")
+    if not number.isdigit() or unit.rstrip("s") not in ("millisecond", "second", "minute", "hour", "day"):
+        raise ValueError(f"unknown trigger {trigger!r}")
     return {"processingTime": trigger}
 
 
-def write_complete(df: DataFrame, path: str | None, checkpoint: str, trigger: str | None = "availableNow",
-                   fmt: str = "parquet", query_name: str | None = None,
-                   table: str | None = None) -> StreamingQuery:
-    """Complete-mode result rewritten after each micro-batch, to ``path`` or
-    to the catalog table ``table``."""
+def _one_sink(path: str | None, table: str | None) -> None:
     if (path is None) == (table is None):
         raise ValueError("give exactly one of path and table")
 
-    def _rewrite(batch: DataFrame, _batch_id: int) -> None:
-        writer = batch.write.mode("overwrite").format(fmt)
-        if table:
-            writer.saveAsTable(table)
-        else:
-            writer.save(path)
 
-    w = df.writeStream.outputMode("complete").option("checkpointLocation", checkpoint).foreachBatch(_rewrite)
+def _start(df: DataFrame, mode: str, checkpoint: str, trigger: str | None, query_name: str | None, per_batch):
+    w = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(per_batch)
     if query_name:
         w = w.queryName(query_name)
     return w.trigger(**trigger_kwargs(trigger)).start()
 
 
+def _swap_pointer(spark: SparkSession, path: str, version: str) -> None:
+    """Point ``path`` at ``version`` by one atomic rename."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    fs = jvm.org.apache.hadoop.fs
+    new, current = fs.Path(f"{path}/{POINTER}.new"), fs.Path(f"{path}/{POINTER}")
+    out = new.getFileSystem(conf).create(new, True)
+    out.write(bytearray(version.encode()))
+    out.close()
+    options = spark.sparkContext._gateway.new_array(fs.Options.Rename, 1)
+    options[0] = fs.Options.Rename.OVERWRITE
+    fs.FileContext.getFileContext(new.toUri(), conf).rename(new, current, options)
+
+
+def current_version(spark: SparkSession, path: str) -> str:
+    """Folder of the version that ``path`` points at."""
+    name = spark.read.option("wholetext", True).text(f"{path}/{POINTER}").first()[0]
+    return f"{path}/{name}"
+
+
+def read_current(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """The current version of a complete-mode folder."""
+    return spark.read.format(fmt).load(current_version(spark, path))
+
+
+def write_complete(df: DataFrame, path: str | None, checkpoint: str, trigger: str | None = "availableNow",
+                   fmt: str = "parquet", query_name: str | None = None,
+                   table: str | None = None) -> StreamingQuery:
+    """Complete-mode result, a new version after each micro-batch, at ``path``
+    or behind the catalog view ``table``.
+
+    The last two versions stay, so a reader that has just looked the pointer up can finish.
+    """
+    _one_sink(path, table)
+
+    def rewrite(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        if table:
+            batch.write.mode("overwrite").format(fmt).saveAsTable(f"{table}__v{batch_id}")
+            spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT * FROM {table}__v{batch_id}")
+            spark.sql(f"DROP TABLE IF EXISTS {table}__v{batch_id - 2}")
+            return
+        batch.write.mode("overwrite").format(fmt).save(f"{path}/v{batch_id}")
+        _swap_pointer(spark, path, f"v{batch_id}")
+        old = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/v{batch_id - 2}")
+        old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
+
+    return _start(df, "complete", checkpoint, trigger, query_name, rewrite)
+
+
+def write_update(df: DataFrame, path: str, checkpoint: str, trigger: str | None = "availableNow",
+                 fmt: str = "parquet", query_name: str | None = None) -> StreamingQuery:
+    """Update-mode result: each micro-batch writes the payloads it changed to
+    ``path/batch=<id>``; read them with ``read_updates``."""
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").format(fmt).save(f"{path}/batch={batch_id}")
+
+    return _start(df, "update", checkpoint, trigger, query_name, add)
+
+
+def read_updates(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """Every payload once, with its latest times, from the slices of ``write_update``."""
+    rows = spark.read.format(fmt).load(path).drop("batch")
+    latest = [c for c in ("ts", "arrive_dt") if c in rows.columns]
+    return latest_by_payload(rows, payload_columns(rows.columns), latest)
+
+
 def write_append(df: DataFrame, path: str | None, checkpoint: str, trigger: str | None = "availableNow",
                  fmt: str = "parquet", query_name: str | None = None,
                  table: str | None = None) -> StreamingQuery:
     """Append-mode file sink (exactly-once through the sink's commit log), to
     ``path`` or to the catalog table ``table``."""
-    if (path is None) == (table is None):
-        raise ValueError("give exactly one of path and table")
+    _one_sink(path, table)
     w = df.writeStream.outputMode("append").format(fmt).option("checkpointLocation", checkpoint)
     if query_name:
         w = w.queryName(query_name)
@@ -64,7 +130,7 @@ def write_append(df: DataFrame, path: str | None, checkpoint: str, trigger: str
     return w.toTable(table) if table else w.option("path", path).start()
 
 
-def write_memory(df: DataFrame, name: str, mode: str = "complete") -> StreamingQuery:
-    """Live preview of a streaming view as the in-memory table ``name``
-    (``SELECT * FROM name``); for small results and notebooks only."""
-    return df.writeStream.outputMode(mode).format("memory").queryName(name).start()
+def write_memory(df: DataFrame, name: str, rows: int = 10_000) -> StreamingQuery:
+    """Live preview of a complete-mode view as the in-memory table ``name``:
+    at most ``rows`` rows of it reach the driver."""
+    return df.limit(rows).writeStream.outputMode("complete").format("memory").queryName(name).start()
