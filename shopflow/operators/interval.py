@@ -43,8 +43,10 @@ def previous_time(
     """
     partition = list(partition)
     rows = df.withColumn("_bucket", _bucket(time_col, bucket_seconds))
-    last = rows.filter(F.col(time_col).isNotNull()).groupBy(*partition, "_bucket").agg(
-        F.max(time_col).alias("_max"))
+    # NULL times are a bucket too, the first one: its carry is NULL, as is the next bucket's
+    # (max_by, as for a plain max the optimiser would drop a DISTINCT below this branch only,
+    # and the two branches could no longer share one scan)
+    last = rows.groupBy(*partition, "_bucket").agg(F.max_by(time_col, time_col).alias("_max"))
     by_bucket = Window.partitionBy(*partition).orderBy("_bucket")
     carry = last.select(*partition, "_bucket", F.lag("_max").over(by_bucket).alias(time_col),
                         F.lit(0).alias("_row"))
@@ -70,16 +72,17 @@ def interval_totals(
     """Per ``group`` of interval rows, the sums of the BIGINT ``measures`` over the events of
     the same ``keys`` with ``lo <= time <= hi``, added up over its intervals.
 
-    An interval with a NULL bound holds no event.  ``key_total`` is the number
-    of events of the keys at any time (NULL times too), added up likewise.  Events
-    are first reduced to one row per (keys, second).
+    An interval with a NULL bound holds no event.  ``key_total`` is the sum of the first
+    measure over the events of the keys at any time (NULL times too), added up
+    likewise.  Events are first reduced to one row per (keys, second).  Both branches read
+    the same aggregates, so Spark runs events and intervals once.
     """
     keys, extra = list(keys), [g for g in group if g not in keys]
     timed = F.col(time_col).isNotNull()
     per_second = events.groupBy(*keys, time_col).agg(
-        *[F.sum(m).alias(m) for m in measures], F.count(F.lit(1)).alias("_count"))
+        *[F.sum(m).alias(m) for m in measures])
     per_second = per_second.select(
-        *keys, time_col, F.lit(1).alias("_row"), "_count",
+        *keys, time_col, F.lit(1).alias("_row"), F.col(measures[0]).alias("_count"),
         *[F.when(timed, F.col(m)).otherwise(F.lit(0)).alias(m) for m in measures])
     bounded = F.col(lo).isNotNull() & F.col(hi).isNotNull()
 
