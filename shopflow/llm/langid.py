@@ -14,7 +14,6 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from shopflow.llm.common import col, free_name
 
@@ -36,20 +35,21 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_
         texts_per_language: int = 160, bytes_per_text: int = 1024, max_languages: int = 512) -> dict[str, bytes]:
     """Dictionary content by language, from a bounded sample of the labelled rows.
 
-    The bound: ``texts_per_language`` different texts of the smallest id hash for
-    each of at most ``max_languages`` labels, ``bytes_per_text`` from the start of each.  Rows
-    without label or letter are passed over; no rows: no language.
+    The bound: for each of at most ``max_languages`` labels about twice
+    ``texts_per_language`` ids of the smallest hashes are looked at, and that many
+    different texts taken, ``bytes_per_text`` from the start of each.  Rows without label or
+    letter are passed over; no rows: no language.
     """
     rows = labelled.filter(col(lang_col).isNotNull()).select(
         col(lang_col).cast("string").alias("lang"), F.xxhash64(col(id_col)).alias("h"),
         F.substring(col(text_col), 1, bytes_per_text).alias("part"))
-    rank = F.dense_rank().over(Window.partitionBy("lang").orderBy("h"))
-    picked = rows.select("lang", "h").withColumn("rank", rank).filter(F.col("rank") <= 2 * texts_per_language)
-    last = {r["lang"]: r["last"] for r in picked.groupBy("lang").agg(F.max("h").alias("last")).collect()}
-    if len(last) > max_languages:
-        raise ValueError(f"{len(last)} labels; at most {max_languages} languages are learned")
-    if not last:
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).limit(max_languages + 1).collect()
+    if len(counts) > max_languages:
+        raise ValueError(f"more than {max_languages} labels")
+    if not counts:
         return {}
+    # hashes are even, so the share of the range below a bound is the share of the ids
+    last = {r["lang"]: min((1 << 64) * 2 * texts_per_language // r["n"], (1 << 64) - 1) - (1 << 63) for r in counts}
     bound = F.element_at(F.create_map(*(F.lit(x) for pair in last.items() for x in pair)), F.col("lang"))
     sample = rows.filter(F.col("h") <= bound).groupBy("lang", "h").agg(F.min("part").alias("part"))
     parts: dict[str, dict[str, None]] = {}
