@@ -120,8 +120,8 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     least ``threshold``.  Null, zero and empty vectors, and those with a null or non-finite
     component, link with nothing.  Each row is a vector of its own, repeated rows and
     null ids too; component_id is null where no row of a component has an id.  An empty table gives
-    no rows.  Other columns are ignored.  The rotation is fitted on the ``sample`` different
-    vectors of the smallest hash; every vector is indexed.
+    no rows.  Other columns are ignored.  The rotation is fitted on about ``sample`` different
+    vectors, those of the smallest hashes; every vector is indexed.
     """
     v = col(vector_col).cast("array<double>")
     usable = F.coalesce(_valid(v) & col(label_col).isNotNull(), F.lit(False))
@@ -134,9 +134,12 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     nodes = materialise(rows.filter("node IS NOT NULL").groupBy("node", "label", "v").agg(
         F.count("*").alias("n"), F.min("vec_id").alias("first")), "vectors")
 
-    picked = nodes.select("node", "v").orderBy("node").limit(sample).collect()
+    # hashes are even, so the share of the range below a bound is the share of the vectors
+    share = min(1.0, sample / max(1, nodes.count()))
+    bound = int(share * (1 << 63)) if share < 1 else (1 << 63) - 1
+    picked = nodes.filter(F.xxhash64("node", F.lit(3)).bitwiseAND(F.lit((1 << 63) - 1)) <= bound).select("v").collect()
     by_length: dict[int, list] = {}
-    for r in picked:
+    for r in sorted(picked):
         by_length.setdefault(len(r["v"]), []).append(r["v"])
     quantiser = Quantiser({d: fit_rotation(unit(np.array(x))) for d, x in by_length.items() if len(x) > 1})
 
