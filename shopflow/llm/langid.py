@@ -96,7 +96,8 @@ class Classifier:
 
 def identify(docs: DataFrame, dictionaries: dict[str, bytes], text_col: str = "text", min_score: float = 0.005,
              prefix: str = "") -> DataFrame:
-    """``docs`` with lang_pred, score, margin_bytes, rejected (named with ``prefix``).
+    """``docs`` with lang_pred, score, margin_bytes, rejected, named with ``prefix`` and, where
+    ``docs`` has such a column, with underscores added.
 
     score is the share of the second smallest size that the smallest saves (0 to 1).  Null texts
     and texts without a letter are ``und`` with score 0; they and texts with a
@@ -114,5 +115,5 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], text_col: str = "t
     narrow = (F.col(own)["lang_pred"] == UNDETERMINED) | (F.col(own)["score"] < min_score) | (
         F.col(own)["margin_bytes"] <= 0)
     return out.select(*(col(c) for c in docs.columns),
-                      *(F.col(own)[c].alias(prefix + c) for c in ("lang_pred", "score", "margin_bytes")),
-                      narrow.alias(prefix + "rejected"))
+                      *(F.col(own)[c].alias(free_name(docs, prefix + c)) for c in ("lang_pred", "score", "margin_bytes")),
+                      narrow.alias(free_name(docs, prefix + "rejected")))

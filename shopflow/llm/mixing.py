@@ -57,7 +57,8 @@ def rates(docs: DataFrame, source_col: str = "source", exponent: float = 0.7,
 def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", seed: int = 1,
         exponent: float = 0.7, weights: dict[str | None, float] | None = None,
         max_sources: int = 100_000, replica: str = "replica") -> DataFrame:
-    """Every column of ``docs`` and ``replica`` (0 on): a row per copy, in random order.
+    """Every column of ``docs`` and, last, ``replica`` (0 on; with underscores added where
+    ``docs`` has such a column): a row per copy, in random order.
 
     A document of count 0 has no copy.  Rows with one id draw the same count; null
     ids draw that of the key ''; null is a source of its own.  An empty table gives no rows.  The
@@ -68,6 +69,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", see
         for pdf in batches:
             yield pdf[["source"]].assign(below=[thresholds(r) for r in pdf["rate"]])
 
+    replica = free_name(docs, replica)
     per_source = materialise(rates(docs, source_col, exponent, weights).mapInPandas(
         tables, "source string, below array<double>"), "rates")
     key, below, u, order = (free_name(docs, c) for c in ("__source", "__below", "__u", "__order"))

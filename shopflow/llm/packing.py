@@ -29,7 +29,7 @@ class Bm25Index:
 
     def __init__(self, docs: list[np.ndarray], k1: float = 1.2, b: float = 0.75):
         self.n = n = len(docs)
-        sizes = np.array([len(d) for d in docs])
+        sizes = np.array([len(d) for d in docs], np.int64)
         tokens = np.concatenate(docs) if docs else np.zeros(0, np.uint16)
         order = np.argsort(tokens, kind="stable")
         term, doc = tokens[order], np.repeat(np.arange(n), sizes)[order]

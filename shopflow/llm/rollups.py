@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopflow.llm.common import col
+from shopflow.llm.common import col, free_name
 from shopflow.llm.tokens import encoder
 
 KEYS = ["source", "lang", "tokenizer"]
@@ -24,8 +24,10 @@ CHANGE = "source string, lang string, tokenizer string, documents long, tokens l
 
 
 def count_tokens(docs: DataFrame, vocabulary: str, text_col: str = "text", out: str = "tokens") -> DataFrame:
-    """``docs`` with the number of ids of each whole text in place of the text; null text: 0."""
+    """``docs`` with, in place of the text, the number of ids of each whole text as its last
+    column ``out`` (underscores added where it exists); null text: 0."""
     kept = docs.drop(text_col)
+    out = free_name(kept, out)
     names = kept.columns
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -105,15 +105,11 @@ def links(distinct: DataFrame, radius: int = 3, bucket_limit: int = 8192) -> Dat
             ends = np.array(edges, np.uint64).reshape(-1, 2).view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], names=["u", "v"])
 
-    found, rows, level = None, distinct, masks(radius)
+    spark, level = distinct.sparkSession, masks(radius)
+    tables: Column = F.array(*(F.struct(F.lit(t).alias("t"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("k"))
+                               for t, m in enumerate(level)))
+    buckets, found = distinct.select("fp", F.inline(tables)), None
     while True:
-        tables: Column = F.array(*(F.struct(F.lit(t).alias("t"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("k"))
-                                   for t, m in enumerate(level)))
-        if found is not None:  # only the finer tables of the large buckets' own tables
-            tables = F.slice(tables, F.col("t") * (radius + 1) + 1, radius + 1)
-        buckets = rows.select("fp", F.inline(tables))
-        if found is not None:
-            buckets = buckets.distinct()
         sizes = materialise(buckets.groupBy("t", "k").agg(F.count("*").alias("n")).filter("n > 1"), "buckets")
         members = buckets.join(sizes, ["t", "k"])
         small = (members.filter(F.col("n") <= bucket_limit).groupBy("t", "k")
@@ -122,8 +118,13 @@ def links(distinct: DataFrame, radius: int = 3, bucket_limit: int = 8192) -> Dat
         found = small if found is None else found.unionByName(small)
         if sizes.filter(F.col("n") > bucket_limit).isEmpty():
             return found
-        rows = materialise(members.filter(F.col("n") > bucket_limit).select("fp", "t"), "large-buckets")
+        large = materialise(members.filter(F.col("n") > bucket_limit).select("fp", "t"), "large-buckets")
+        # radius + 1 rows for each table of this level: a fixed number, whatever the input
+        cut = [(t, t * (radius + 1) + j, _signed(f)) for t, m in enumerate(level) for j, f in enumerate(finer(m, radius))]
         level = [f for m in level for f in finer(m, radius)]
+        next_tables = F.broadcast(spark.createDataFrame(cut, "t int, finer int, mask long"))
+        buckets = large.join(next_tables, "t").select(
+            "fp", F.col("finer").alias("t"), F.col("fp").bitwiseAND(F.col("mask")).alias("k")).distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
