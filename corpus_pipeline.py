@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shopflow.llm import exact, langid, mixing, packing, simhash
 from shopflow.llm.common import col, free_name, materialise
-from shopflow.llm.queries import import_in_workers, table
+from shopflow.llm.queries import table
+from shopflow.session import import_in_workers
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 

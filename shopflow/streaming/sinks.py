@@ -3,7 +3,7 @@
 ``complete`` mode rewrites the whole result every micro-batch (the reference's
 choice; cost grows with history): each batch writes a new version beside the
 current one, then a pointer is swapped in one step, so a reader always sees one whole version
-and a crash leaves the last one.  For a folder the pointer is the file ``_CURRENT``
+and a crash leaves the last one.  For a folder the pointer is the file ``CURRENT``
 (``read_current`` follows it), for a table it is a view of the version's table.
 
 ``update`` mode writes only the payloads that a batch changed, as one slice per
@@ -21,7 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 from shopflow.functions.columns import payload_columns
 from shopflow.operators.dedup import latest_by_payload
 
-POINTER = "_CURRENT"
+POINTER = "CURRENT"
 
 
 def trigger_kwargs(trigger: str | None) -> dict:
@@ -55,9 +55,12 @@ def _swap_pointer(spark: SparkSession, path: str, version: str) -> None:
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     fs = jvm.org.apache.hadoop.fs
     new, current = fs.Path(f"{path}/{POINTER}.new"), fs.Path(f"{path}/{POINTER}")
-    out = new.getFileSystem(conf).create(new, True)
+    store = fs.FileSystem.newInstance(new.toUri(), conf)
+    store.setWriteChecksum(False)  # a checksum file could not be swapped in the same step
+    out = store.create(new, True)
     out.write(bytearray(version.encode()))
     out.close()
+    store.close()
     options = spark.sparkContext._gateway.new_array(fs.Options.Rename, 1)
     options[0] = fs.Options.Rename.OVERWRITE
     fs.FileContext.getFileContext(new.toUri(), conf).rename(new, current, options)
@@ -65,8 +68,13 @@ def _swap_pointer(spark: SparkSession, path: str, version: str) -> None:
 
 def current_version(spark: SparkSession, path: str) -> str:
     """Folder of the version that ``path`` points at."""
-    name = spark.read.option("wholetext", True).text(f"{path}/{POINTER}").first()[0]
-    return f"{path}/{name}"
+    jvm = spark._jvm
+    at = jvm.org.apache.hadoop.fs.Path(f"{path}/{POINTER}")
+    source = at.getFileSystem(spark._jsc.hadoopConfiguration()).open(at)
+    try:
+        return f"{path}/{jvm.org.apache.commons.io.IOUtils.toString(source, 'UTF-8')}"
+    finally:
+        source.close()
 
 
 def read_current(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -89,7 +97,8 @@ def write_complete(df: DataFrame, path: str | None, checkpoint: str, trigger: st
         if table:
             batch.write.mode("overwrite").format(fmt).saveAsTable(f"{table}__v{batch_id}")
             spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT * FROM {table}__v{batch_id}")
-            spark.sql(f"DROP TABLE IF EXISTS {table}__v{batch_id - 2}")
+            if batch_id >= 2:
+                spark.sql(f"DROP TABLE IF EXISTS {table}__v{batch_id - 2}")
             return
         batch.write.mode("overwrite").format(fmt).save(f"{path}/v{batch_id}")
         _swap_pointer(spark, path, f"v{batch_id}")

@@ -18,6 +18,8 @@ def test_top_sellers_null_group_and_inner_drop(spark):
     all_time = {r.shoes_id: r.total_sales for r in gold.top_sellers_all_time(orders, custs, shoes).collect()}
     assert all_time == {"1": 3, None: 3}
     tx = silver.transactions_v2(orders, custs, shoes)
+    history = gold.customer_order_history(orders, custs, shoes)
+    assert sum(r.bought_count for r in history.collect()) == tx.count()
     assert {r.shoes_id: r.total_sales for r in gold.top_sellers_from_transactions(tx).collect()} == all_time
     inner = {r.shoes_id: r.total_sales for r in gold.top_sellers(orders, shoes).collect()}
     assert inner == {"1": 2}
@@ -124,4 +126,6 @@ def test_build_tables(spark, scratch):
     spark.sql(f"CREATE DATABASE IF NOT EXISTS shopflow_b LOCATION '{scratch}/dbb'")
     out = build_tables(spark, fx.bronze_tables(spark, SF_SMALL), fx.AS_OF, database="shopflow_b")
     assert spark.table("shopflow_b.customer_feature").count() == out["customer_feature"].count() > 0
-    assert spark.table("top_sell_product_all_time").count() > 0
+    other = spark.newSession()  # permanent views are seen by every session
+    for name in ("top_sell_product", "top_sell_product_all_time", "customer_order_history"):
+        assert other.table(f"shopflow_b.{name}").count() == out[name].count() > 0

@@ -7,13 +7,15 @@ from tools.oracle_check import compare, duck
 
 from .conftest import SF_CHECK, SF_SMALL
 
-NAMES = sorted(entry.queries())
+NAMES = sorted(entry.oracle_sql())
 # the heaviest plans are also checked on the gate's own scale
 GATE = ["g11_interact_before_buy", "g12_customer_feature", "g4_interest_profile", "g8_top_sell_product_all_time"]
 
 
-def test_every_query_has_an_oracle():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+def test_every_reference_query_has_an_oracle():
+    rest = set(entry.queries()) - set(entry.oracle_sql())
+    assert all(n == "pipeline" or n.startswith("op") for n in rest)
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", NAMES)

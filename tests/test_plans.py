@@ -3,6 +3,7 @@
 import contextlib
 import io
 import os
+import re
 
 from shopflow import fixtures as fx
 from shopflow.plans import gold, silver
@@ -39,15 +40,29 @@ def test_projection_is_pruned(spark, scratch):
     assert "page_url" not in scan and "ip" not in scan and "view_time" in scan
 
 
-def test_interval_plan_has_no_pair_or_cross_join(spark):
+def _executed(df) -> str:
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_interval_plan_reads_each_input_once(spark):
     df = gold.interactions_before_buy(
         fx.orders(spark, SF_SMALL),
         silver.click_history_v2(fx.clicks(spark, SF_SMALL), fx.shoes(spark, SF_SMALL), fx.AS_OF),
     )
-    plan = _plan(df)
-    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
-    # every window is partitioned by a time bucket or runs over per-bucket rows
-    assert "Window" in plan
+    plan = _executed(df)
+    assert len(re.findall(r"FileScan parquet [^\n]*events.parquet", plan)) == 2
+    assert len(re.findall(r"(?m)^[\s:+|*()0-9-]*Exchange ", plan)) <= 10
+    # every window but the ones over per-bucket rows is partitioned by a time bucket
+    assert len(re.findall(r"_bucket#\d+L?\], \[", plan)) >= 2
+
+
+def test_no_registered_plan_has_a_nested_loop(spark):
+    import __spark_entry__ as entry
+
+    for name in sorted(n for n in entry.queries() if not n.startswith("op") and n != "pipeline"):
+        plan = entry.queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+        assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan, name
 
 
 def test_customers_are_not_hinted_for_broadcast(spark):
