@@ -56,14 +56,14 @@ def rates(docs: DataFrame, source_col: str = "source", exponent: float = 0.7,
 
 def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", seed: int = 1,
         exponent: float = 0.7, weights: dict[str | None, float] | None = None,
-        max_sources: int = 100_000, replica: str = "replica") -> DataFrame:
+        broadcast_bytes: int = 32 << 20, replica: str = "replica") -> DataFrame:
     """Every column of ``docs`` and, last, ``replica`` (0 on; with underscores added where
     ``docs`` has such a column): a row per copy, in random order.
 
     A document of count 0 has no copy.  Rows with one id draw the same count; null
     ids draw that of the key ''; null is a source of its own.  An empty table gives no rows.  The
-    sources' distribution functions are broadcast while there are at most
-    ``max_sources`` of them (about 400 bytes each at rates near 1); beyond, they are joined by shuffle.
+    sources' distribution functions (8 bytes a step, more steps at higher rates) are broadcast while
+    names and functions measure at most ``broadcast_bytes``; beyond, they are joined by shuffle.
     """
     def tables(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -74,7 +74,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", see
         tables, "source string, below array<double>"), "rates")
     key, below, u, order = (free_name(docs, c) for c in ("__source", "__below", "__u", "__order"))
     per_source = per_source.select(F.col("source").alias(key), F.col("below").alias(below))
-    if per_source.limit(max_sources + 1).count() <= max_sources:
+    size = F.size(below) * 8 + F.coalesce(F.octet_length(key), F.lit(0)) + 64
+    if (per_source.agg(F.sum(size.cast("long"))).first()[0] or 0) <= broadcast_bytes:
         per_source = F.broadcast(per_source)
     counted = docs.join(per_source, col(source_col).cast("string").eqNullSafe(F.col(key)), "left").withColumn(
         u, draw(col(id_col), seed))

@@ -62,21 +62,30 @@ class Bm25Index:
         return hits[np.argsort(-score[hits], kind="stable")]
 
 
-def fill(docs: list[np.ndarray], window: int) -> Iterator[list[tuple[int, int, int]]]:
-    """Sequences of (document, from, to) over all ids of the documents."""
+def fill(docs: list[np.ndarray], window: int,
+         owners: list[int | None] | None = None) -> Iterator[list[tuple[int, int, int]]]:
+    """Sequences of (document, from, to) over all ids of the documents.
+
+    Copies of one owner (not None) are no neighbours in a sequence: a copy would be the best
+    match of itself, and fill the window with repeats.
+    """
     index, used, lengths = Bm25Index(docs), [0] * len(docs), [len(d) for d in docs]
+    owners = owners or [None] * len(docs)
     left, seed = sum(lengths), 0
     while left >= window:
         while used[seed] == lengths[seed]:
             seed += 1
-        sequence, room = [], window
-        for source in ([seed], index.neighbours(seed).tolist(), range(seed + 1, len(docs))):
+        sequence, room, present = [], window, set()
+        near = index.neighbours(seed).tolist()
+        for source in ([seed], near, range(seed + 1, len(docs))):
             for i in source:
-                if room and used[i] < lengths[i]:
+                if room and used[i] < lengths[i] and not (source is near and owners[i] in present):
                     n = min(room, lengths[i] - used[i])
                     sequence.append((i, used[i], used[i] + n))
                     used[i] += n
                     room -= n
+                    if owners[i] is not None:
+                        present.add(owners[i])
             if not room:
                 break
         left -= window
@@ -139,7 +148,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabu
                   for b, n in zip(rest["ids"].to_pylist(), rest["length"].to_pylist())]
         doc_ids, starts, totals = (rest[c].to_pylist() for c in ("doc_id", "start", "doc_tokens"))
         out = []
-        for k, sequence in enumerate(fill(arrays, window), base + len(whole)):
+        for k, sequence in enumerate(fill(arrays, window, doc_ids), base + len(whole)):
             offset = 0
             for i, a, b in sequence:
                 out.append((doc_ids[i], starts[i] + a, b - a, ids_crc32(arrays[i][a:b]), totals[i], k, offset))

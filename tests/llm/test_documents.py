@@ -152,6 +152,11 @@ def test_bm25_prefers_shared_rare_terms():
     filled = [s for s in packing.fill(docs, 8)]
     assert sum(b - a for s in filled for _, a, b in s) == sum(map(len, docs))
     assert [i for i, _, _ in filled[0]][:2] == [0, 2]
+    # a copy of the seed is its best match, yet no neighbour of it
+    copies = [docs[0], docs[0], docs[2], docs[1], docs[1] + 20, docs[1] + 30, docs[1] + 40]
+    assert packing.Bm25Index(copies).neighbours(0).tolist() == [1, 2]
+    assert [i for i, _, _ in next(packing.fill(copies, 8))] == [0, 1]
+    assert [i for i, _, _ in next(packing.fill(copies, 8, [7, 7, 8, 9, 10, 11, None]))] == [0, 2]
 
 
 def test_wavelet_files_round_trip(docs, empty):
@@ -199,6 +204,8 @@ def test_poisson_mixing(spark, docs, empty):
     assert abs(sizes["small"] - 10000) < 500 and abs(sizes["large"] - 10000) < 500
     assert mixing.mix(many, weights={"small": 1}).filter("source = 'large'").count() == 0
     assert mixing.mix(empty).count() == 0
+    shuffled = mixing.mix(docs, exponent=0.5, broadcast_bytes=0)  # too large to broadcast: joined by shuffle
+    assert Counter(map(str, shuffled.collect())) == Counter(map(str, again))
 
 
 def test_rendezvous_sharding(spark, docs, empty):
