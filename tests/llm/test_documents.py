@@ -159,6 +159,29 @@ def test_bm25_prefers_shared_rare_terms():
     assert [i for i, _, _ in next(packing.fill(copies, 8, [7, 7, 8, 9, 10, 11, None]))] == [0, 2]
 
 
+def test_related_documents_meet_over_several_shards(spark):
+    rng = np.random.default_rng(6)
+    words = [f"{a}{b}" for a in "bcdfghklmnprstvw" for b in ("al", "en", "ir", "ost", "und", "ay", "ick", "oom")]
+
+    def some(n):
+        return " ".join(rng.choice(words, n))
+
+    rows = []
+    for family in range(20):  # three documents share half of their text
+        passage = some(120)
+        rows += [(len(rows) + k, f"{some(60)} {passage} {some(60)}", family) for k in range(3)]
+    rows += [(i, some(240), None) for i in range(len(rows), 400)]
+    order = rng.permutation(len(rows)).tolist()  # ids say nothing about families
+    df = spark.createDataFrame([(order[i], text) for i, text, _ in rows], "doc_id long, text string")
+    family = {order[i]: f for i, _, f in rows if f is not None}
+    shards = defaultdict(set)
+    for p in packing.pack(df, window=1024, rows_per_shard=40).collect():
+        shards[p.doc_id].add(p.sequence_id >> 32)
+    assert len({s for own in shards.values() for s in own}) > 5
+    together = sum(len({s for d, g in family.items() if g == f for s in shards[d]}) == 1 for f in range(20))
+    assert together >= 18
+
+
 def test_wavelet_files_round_trip(docs, empty):
     rows = texts(docs)
     got = wavelet.token_files(docs, rows_per_partition=5, tokens_per_shard=300).orderBy("start").collect()
