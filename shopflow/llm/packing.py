@@ -4,7 +4,7 @@ A document longer than a window fills windows of its own; what is left of it (le
 than a window) goes to a shard of about ``rows_per_shard`` documents.  Documents are dealt
 by content, so that related ones meet at any size: each has keys (the smallest hashes of its
 runs of eight ids, and its most telling terms), and goes with those that share one.
-Each shard holds a BM25 inverted index of its documents' remainders, with the document
+Each shard holds a BM25 inverted index of its whole documents, with the document
 frequencies and the mean length of all documents.  The first unused
 document seeds a window, its best-scored unused neighbours fill it, and the last one
 is cut at the window's end, so windows are full.  What a shard has left over
@@ -98,8 +98,8 @@ class Bm25Index:
         at = np.flatnonzero(np.concatenate([[len(term) > 0], term[1:] != term[:-1], [len(term) > 0]]))
         self.first, self.end, df = at[:-1], at[1:], np.diff(at)
         slot = np.repeat(np.arange(len(df)), df)
-        shared = np.flatnonzero(((df > 1) & (df <= n / 2))[slot])  # a term of one document has no neighbour
-        shared = shared[np.lexsort((-corpus.idf[term[shared]], self.doc[shared]))]
+        shared = np.flatnonzero((df > 1)[slot])  # a term of one document has no neighbour
+        shared = shared[np.argsort(self.doc[shared], kind="stable")]
         self.terms_of = slot[shared]
         self.bounds = np.searchsorted(self.doc[shared], np.arange(n + 1))
         # postings of frequent terms are rows over all documents, as many as fit 64 MB
@@ -112,8 +112,8 @@ class Bm25Index:
         self.rows[self.row[slot[at]], self.doc[at]] = self.weight[at]
 
     def neighbours(self, i: int) -> np.ndarray:
-        """Documents by falling BM25 score for the 32 rarest terms of document i."""
-        query = self.terms_of[self.bounds[i]:self.bounds[i + 1]][:32]
+        """Documents by falling BM25 score for all terms of document i."""
+        query = self.terms_of[self.bounds[i]:self.bounds[i + 1]]
         if not len(query):
             return query
         row = self.row[query]
@@ -275,7 +275,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabu
             out += [(doc_id, k * window, window, crc, total, base + len(out) + k, 0) for k, crc in enumerate(own)]
         rest = [i for i, b in enumerate(ids) if b]
         arrays = [np.frombuffer(ids[i], width) for i in rest]
-        index = Bm25Index(arrays, corpus)
+        index = Bm25Index([terms_of(ids[i], terms[i], tf[i]) for i in rest], corpus)
         for k, sequence in enumerate(fill(arrays, window, [doc_ids[i] for i in rest], index), base + len(out)):
             offset = 0
             for j, a, b in sequence:

@@ -182,6 +182,20 @@ def test_related_documents_meet_over_several_shards(spark):
     assert together >= 18
 
 
+def test_bm25_asks_with_all_terms_of_the_whole_document():
+    # 40 rarer terms do not hide the passage that documents 0 and 1 share
+    passage = list(range(100, 120))
+    docs = [np.array(x, np.uint16) for x in (
+        passage + list(range(40)), passage, passage + list(range(200, 210)),
+        *([k, 300 + k] for k in range(40)), [300, 301])]
+    assert packing.Bm25Index(docs).neighbours(0).tolist()[:2] == [1, 2]
+    # of two documents both terms are in more than half
+    assert packing.Bm25Index(docs[1:3]).neighbours(0).tolist() == [1]
+    # a document is found by terms that its remainder lacks
+    index = packing.Bm25Index([packing.counted(np.array([5, 6, 9])), np.array([5, 6]), np.array([8])])
+    assert [i for i, _, _ in next(packing.fill([np.array([9]), np.array([5, 6]), np.array([8])], 3, index=index))] == [0, 1]
+
+
 def test_wavelet_files_round_trip(docs, empty):
     rows = texts(docs)
     got = wavelet.token_files(docs, rows_per_partition=5, tokens_per_shard=300).orderBy("start").collect()
