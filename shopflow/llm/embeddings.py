@@ -2,7 +2,8 @@
 
 A rotation learned on a bounded sample turns vectors into balanced binary codes.
 Codes are cut into chunks; every set of ``agree`` chunks is a table, whose buckets
-hold the vectors that agree in those chunks.  Inside a bucket the cosine of the original
+hold the vectors that agree in those chunks.  Their numbers are the cheapest that find enough partners
+of the sampled vectors at the threshold (``scheme``); with no chunk to agree in, all vectors are compared.  Inside a bucket the cosine of the original
 vectors decides.  A pair counts in the first table where it meets, so nothing is counted
 twice; a bucket gives each vector's number of links and its component, never its pairs.
 Buckets over ``block`` vectors are cut into pairs of blocks, which all get compared.
@@ -11,6 +12,7 @@ Buckets over ``block`` vectors are cut into pairs of blocks, which all get compa
 from __future__ import annotations
 
 import itertools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -65,6 +67,42 @@ def tables(chunks: int, agree: int) -> list[tuple[int, ...]]:
     return list(itertools.combinations(range(chunks), agree))
 
 
+def partners(u: np.ndarray, cosine: float, seed: int = 11) -> list[np.ndarray]:
+    """For each unit vector one at this cosine: off in any direction, and in one in which the vectors differ."""
+    rng = np.random.default_rng(seed)
+    out = []
+    for off in (rng.normal(size=u.shape), u[rng.permutation(len(u))] - u[rng.permutation(len(u))]):
+        off = off - (off * u).sum(axis=1, keepdims=True) * u
+        off /= np.maximum(np.linalg.norm(off, axis=1, keepdims=True), 1e-12)
+        out.append(cosine * u + np.sqrt(max(0.0, 1 - cosine * cosine)) * off)
+    return out
+
+
+def scheme(u: np.ndarray, quantiser: Quantiser, threshold: float, rows: int, pairs: int,
+           target: float = 0.99, row_cost: int = 600, most_tables: int = 200) -> tuple[int, int]:
+    """(chunks, agree) of the least work for ``rows`` vectors in ``pairs`` comparable pairs, among those
+    that let at least ``target`` of the vectors ``u`` meet their partners at the threshold."""
+    bits, own = min(BITS, u.shape[1]), quantiser.codes(u).view(np.uint64)
+    flips = [((own ^ quantiser.codes(v).view(np.uint64))[:, None] >> np.arange(bits, dtype=np.uint64)) & np.uint64(1)
+             for v in partners(u, threshold)]
+    best = (row_cost * rows + pairs, (1, 0))  # all pairs
+    for chunks in range(1, bits + 1):
+        width = bits // chunks
+        same = [(~f[:, :chunks * width].reshape(len(u), chunks, width).any(axis=2)).sum(axis=1) for f in flips]
+        for agree in range(1, chunks + 1):
+            n = math.comb(chunks, agree)
+            if n <= most_tables and min((x >= agree).mean() for x in same) >= target:
+                best = min(best, (n * (row_cost * rows + pairs / 2 ** (agree * width)), (chunks, agree)))
+    return best[1]
+
+
+def chunk_values(code: np.ndarray, d: int, chunks: int) -> np.ndarray:
+    """The chunks of the codes of vectors of length d, one column each."""
+    width = min(BITS, d) // chunks
+    return code.view(np.uint64)[:, None] >> np.arange(0, chunks * width, width, dtype=np.uint64) & np.uint64(
+        (1 << width) - 1)
+
+
 def sorted_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """The runs of equal keys of a sorted partition, across its batches."""
     held: list[pa.Table] = []
@@ -112,8 +150,8 @@ def _valid(v: Column) -> Column:
 
 
 def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
-                 label_col: str = "label", threshold: float = 0.98, sample: int = 4096, chunks: int = 8,
-                 agree: int = 2, block: int = 2048) -> DataFrame:
+                 label_col: str = "label", threshold: float = 0.98, sample: int = 4096,
+                 block: int = 2048) -> DataFrame:
     """vec_id, n_links, component_id, kept: one row per row of ``vectors``.
 
     Vectors link when their labels are equal and not null, their lengths equal and their cosine at
@@ -121,7 +159,8 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     component, link with nothing.  Each row is a vector of its own, repeated rows and
     null ids too; component_id is null where no row of a component has an id.  An empty table gives
     no rows.  Other columns are ignored.  The rotation is fitted on about ``sample`` different
-    vectors, those of the smallest hashes; every vector is indexed.
+    vectors, those of the smallest hashes; every vector is indexed.  Vectors of a length with fewer than 32
+    in the sample are all compared.
     """
     v = col(vector_col).cast("array<double>")
     usable = F.coalesce(_valid(v) & col(label_col).isNotNull(), F.lit(False))
@@ -141,7 +180,12 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     by_length: dict[int, list] = {}
     for r in sorted(picked):
         by_length.setdefault(len(r["v"]), []).append(r["v"])
-    quantiser = Quantiser({d: fit_rotation(unit(np.array(x))) for d, x in by_length.items() if len(x) > 1})
+    sampled = {d: unit(np.array(x)) for d, x in by_length.items() if len(x) >= 32}
+    quantiser = Quantiser({d: fit_rotation(u) for d, u in sampled.items()})
+    work = nodes.filter(F.size("v").isin(list(sampled))).groupBy(F.size("v").alias("d"), "label").agg(
+        F.count("*").cast("double").alias("n")).groupBy("d").agg(F.sum("n"), F.sum(F.col("n") * F.col("n"))).collect()
+    schemes = {d: scheme(sampled[d], quantiser, threshold, n, pairs) for d, n, pairs in work}
+    every = (1, 0)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -149,25 +193,28 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
             length = lists.value_lengths().to_numpy(zero_copy_only=False)
             flat, at = lists.flatten().to_numpy(), np.cumsum(length) - length
             code, raw = np.zeros(len(batch), np.int64), [b""] * len(batch)
+            values: list[np.ndarray] = [np.zeros(0, np.int64)] * len(batch)
             for d in np.unique(length):
                 own = np.flatnonzero(length == d)
                 u = unit(flat[at[own, None] + np.arange(d)])
                 code[own] = quantiser.codes(u)
-                for i, x in zip(own, u):
-                    raw[i] = x.tobytes()
+                chunks, agree = schemes.get(d, every)
+                parts, width = chunk_values(code[own], d, chunks), np.uint64(min(BITS, d) // chunks)
+                value = np.zeros((len(own), math.comb(chunks, agree)), np.uint64)
+                for t, s in enumerate(tables(chunks, agree)):
+                    for k, c in enumerate(s):
+                        value[:, t] |= parts[:, c] << np.uint64(k) * width
+                for i, x, y in zip(own, u, value.view(np.int64)):
+                    raw[i], values[i] = x.tobytes(), y
             yield pa.RecordBatch.from_arrays(
                 [batch.column("node"), batch.column("label"), batch.column("n"), pa.array(length.astype("i4")),
-                 pa.array(code), pa.array(raw, pa.binary())], names=["node", "label", "n", "d", "code", "u"])
+                 pa.array(code), pa.array(raw, pa.binary()), pa.array(values, pa.list_(pa.int64()))],
+                names=["node", "label", "n", "d", "code", "u", "buckets"])
 
     coded = materialise(nodes.select("node", "label", "n", "v").mapInArrow(
-        encode, "node string, label string, n long, d int, code long, u binary"), "codes")
-    width, sets = BITS // chunks, tables(chunks, agree)
-
-    def chunk(c: int) -> Column:
-        return F.shiftrightunsigned("code", c * width).bitwiseAND(F.lit((1 << width) - 1))
-
-    keys = F.array(*(F.struct(F.lit(t).alias("t"), F.xxhash64(
-        F.lit(t), "label", "d", *(chunk(c) for c in s)).alias("k")) for t, s in enumerate(sets)))
+        encode, "node string, label string, n long, d int, code long, u binary, buckets array<long>"), "codes")
+    keys = F.transform("buckets", lambda value, t: F.struct(
+        t.alias("t"), F.xxhash64(t, "label", "d", value).alias("k")))
     bucket = ["t", "k"]
     sizes = materialise(coded.select(F.inline(keys)).groupBy(bucket).agg(F.count("*").alias("size"))
                         .filter("size > 1"), "buckets")
@@ -179,7 +226,6 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
                .select("t", "k", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"),
                        "own", "node", "label", "d", "n", "code", "u"))
     group = ["t", "k", "lo", "hi"]
-    first_table = {s: t for t, s in enumerate(sets)}
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: tuple[list, list, list] = [], [], []
@@ -197,10 +243,10 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
                 a, b = a[cross], b[cross]
             if not len(a):
                 continue
-            same = ((code[a] ^ code[b]).view(np.uint64)[:, None] >> np.arange(
-                0, BITS, width, dtype=np.uint64) & np.uint64((1 << width) - 1)) == 0
+            chunks, agree = schemes.get(d[0], every)
+            same = chunk_values(code[a], d[0], chunks) == chunk_values(code[b], d[0], chunks)
             order = np.argsort(~same, axis=1, kind="stable")[:, :agree]
-            here = (order == sets[g["t"][0].as_py()]).all(axis=1)
+            here = (order == np.array(tables(chunks, agree)[g["t"][0].as_py()], int)).all(axis=1)
             here &= np.array(label, object)[a] == np.array(label, object)[b]
             a, b = a[here], b[here]
             if not len(a):

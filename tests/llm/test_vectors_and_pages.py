@@ -62,6 +62,38 @@ def test_recall_on_the_driver_table(spark):
     assert 0.9 * pairs <= found <= pairs
 
 
+def planted(mean_share, n, seed):
+    """Vectors of 64 dimensions with this share of a common mean, and for each one at cosine 0.98 to 0.985."""
+    rng = np.random.default_rng(seed)
+    mean = np.eye(64)[0] * np.sqrt(mean_share)
+    u = embeddings.unit(mean + embeddings.unit(rng.normal(size=(n, 64))) * np.sqrt(1 - mean_share))
+    off = rng.normal(size=u.shape)
+    off = embeddings.unit(off - (off * u).sum(axis=1, keepdims=True) * u)
+    cosine = rng.uniform(0.9801, 0.985, (n, 1))
+    return u, cosine * u + np.sqrt(1 - cosine ** 2) * off
+
+
+def test_recall_in_64_dimensions(spark):
+    for mean_share in (0.0, 0.9):
+        x = np.concatenate(planted(mean_share, 2000, 12))
+        df = spark.createDataFrame([(i, v, 0) for i, v in enumerate(x.tolist())],
+                                   "vec_id long, embedding array<double>, label int")
+        want = ((x[::50] @ x.T >= 0.98).sum(axis=1) - 1).sum()
+        found = embeddings.near_vectors(df).filter("vec_id % 50 = 0").agg({"n_links": "sum"}).first()[0]
+        assert want >= 80 and 0.9 * want <= found <= want
+
+
+def test_scheme_keeps_recall_on_large_tables():
+    chosen = {}
+    for mean_share in (0.0, 0.5, 0.9):
+        sample, (a, b) = planted(mean_share, 4096, 13)[0], planted(mean_share, 4096, 14)
+        q = embeddings.Quantiser({64: embeddings.fit_rotation(sample)})
+        chunks, agree = chosen[mean_share] = embeddings.scheme(sample, q, 0.98, 10 ** 8, 10 ** 16)
+        same = embeddings.chunk_values(q.codes(a), 64, chunks) == embeddings.chunk_values(q.codes(b), 64, chunks)
+        assert (same.sum(axis=1) >= agree).mean() >= 0.97
+    assert all(agree > 0 for _, agree in chosen.values())
+
+
 def test_codes_are_balanced():
     sample = embeddings.unit(np.random.default_rng(5).normal(size=(2000, 32)) + 0.5)
     codes = embeddings.Quantiser({32: embeddings.fit_rotation(sample)}).codes(sample)
