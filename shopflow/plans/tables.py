@@ -43,8 +43,8 @@ def build_tables(
     """Write the silver tables and gold tables, register the gold views.
 
     ``bronze`` maps ``shoe_clickstream``, ``shoe_orders``, ``shoes`` and
-    ``customers`` to DataFrames; orders and shoes are stored too where the catalog has no
-    such table, since a permanent view reads them.  The sales and order views are
+    ``customers`` to DataFrames; orders and shoes are stored anew on every call, under names of our
+    own, since a permanent view reads them, unless the frame is the catalog table of its name.  The sales and order views are
     permanent, the others, which hang on the reference time, are temporary.
     ``as_of=None`` is now, as a wall clock in ``zone``, the zone of the event
     times.  Returns name -> DataFrame (tables read back).
@@ -77,14 +77,16 @@ def build_tables(
     }
     for name, df in temporary.items():
         out[name] = view(df, name)
-    for name in ("shoe_orders", "shoes"):
-        if not spark.catalog.tableExists(q(name)):
-            snapshot(bronze[name], q(name), fmt)
+    stored = {name: q(name) for name in ("shoe_orders", "shoes")}
+    for name, at in stored.items():
+        if not (spark.catalog.tableExists(at) and bronze[name].sameSemantics(spark.table(at))):
+            stored[name] = q(f"{TOP_SELL}_{name}")
+            snapshot(bronze[name], stored[name], fmt)
     shoe = "shoes_id, brand, name, sale_price, rating"
     bought = "shoe_orders_ts, customer_id, product_id, brand, name"
     permanent = {
         TOP_SELL: f"""SELECT product_id AS shoes_id, brand, sale_price, rating, count(*) AS total_sales
-                      FROM {q("shoe_orders")} JOIN {q("shoes")} ON product_id = id
+                      FROM {stored["shoe_orders"]} JOIN {stored["shoes"]} ON product_id = id
                       GROUP BY product_id, brand, sale_price, rating""",
         TOP_SELL_ALL_TIME: f"SELECT {shoe}, count(*) AS total_sales FROM {q(TRANSACTIONS)} GROUP BY {shoe}",
         ORDER_HISTORY: f"SELECT {bought}, count(*) AS bought_count FROM {q(TRANSACTIONS)} GROUP BY {bought}",

@@ -129,3 +129,28 @@ def test_build_tables(spark, scratch):
     other = spark.newSession()  # permanent views are seen by every session
     for name in ("top_sell_product", "top_sell_product_all_time", "customer_order_history"):
         assert other.table(f"shopflow_b.{name}").count() == out[name].count() > 0
+
+
+def test_build_tables_again_with_newer_frames(spark, scratch):
+    from shopflow.plans.tables import build_tables
+
+    db = "shopflow_again"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{scratch}/again'")
+    bronze = {"shoes": h.shoes(spark, [("1", "B"), ("2", "A")]), "customers": h.customers(spark, ["u1"]),
+              "shoe_clickstream": h.clicks(spark, [("1", "u1", 10, h.at(1))])}
+
+    def sold(orders):
+        build_tables(spark, {**bronze, "shoe_orders": orders}, AS_OF, database=db)
+        return {r.shoes_id: r.total_sales for r in spark.newSession().table(f"{db}.top_sell_product").collect()}
+
+    assert sold(h.orders(spark, [(1, "1", "u1", h.at(9))])) == {"1": 1}
+    more = h.orders(spark, [(1, "1", "u1", h.at(9)), (2, "1", "u1", h.at(10)), (3, "2", "u1", h.at(11))])
+    assert sold(more) == {"1": 2, "2": 1}
+    # the catalog table itself is read where it is the given frame, so that the view follows it
+    more.write.saveAsTable(f"{db}.shoe_orders")
+    assert sold(spark.table(f"{db}.shoe_orders")) == {"1": 2, "2": 1}
+    more.limit(1).write.mode("append").saveAsTable(f"{db}.shoe_orders")
+    assert spark.newSession().table(f"{db}.top_sell_product").agg({"total_sales": "sum"}).first()[0] == 4
+    # a table of that name with other rows is neither read nor overwritten
+    assert sold(h.orders(spark, [(9, "2", "u1", h.at(9))])) == {"2": 1}
+    assert spark.table(f"{db}.shoe_orders").count() == 4
