@@ -132,8 +132,8 @@ def fill(docs: list[np.ndarray], window: int,
          owners: list[int | None] | None = None, index: Bm25Index | None = None) -> Iterator[list[tuple[int, int, int]]]:
     """Sequences of (document, from, to) over all ids of the documents.
 
-    Copies of one owner (not None) are no neighbours in a sequence: a copy would be the best
-    match of itself, and fill the window with repeats.
+    Copies of one owner (not None) come into a sequence only when nothing else is left: a copy would
+    be the best match of itself, and fill the window with repeats.
     """
     index, used, lengths = index or Bm25Index(docs), [0] * len(docs), [len(d) for d in docs]
     owners = owners or [None] * len(docs)
@@ -143,11 +143,12 @@ def fill(docs: list[np.ndarray], window: int,
             seed += 1
         sequence, room, present = [], window, set()
         near = index.neighbours(seed).tolist()
-        for source in ([seed], near, range(seed + 1, len(docs))):
+        later = range(seed + 1, len(docs))
+        for source, repeats in (([seed], True), (near, False), (later, False), (later, True)):
             for i in source:
                 if not room:
                     break
-                if used[i] < lengths[i] and not (source is near and owners[i] in present):
+                if used[i] < lengths[i] and (repeats or owners[i] not in present):
                     n = min(room, lengths[i] - used[i])
                     sequence.append((i, used[i], used[i] + n))
                     used[i] += n

@@ -196,6 +196,22 @@ def test_bm25_asks_with_all_terms_of_the_whole_document():
     assert [i for i, _, _ in next(packing.fill([np.array([9]), np.array([5, 6]), np.array([8])], 3, index=index))] == [0, 1]
 
 
+def test_copies_fill_a_window_only_when_nothing_else_is_left():
+    a, b = np.array([1, 2, 3, 4], np.uint16), np.array([50, 51, 52, 53], np.uint16)
+    # no neighbour but its own copies: another document comes before them
+    assert [i for i, _, _ in next(packing.fill([a, a, a, b], 8, [1, 1, 1, 2]))] == [0, 3]
+    assert [i for i, _, _ in next(packing.fill([a, a, a], 8, [1, 1, 1]))] == [0, 1]
+
+
+def test_copies_of_one_document_spread_over_shards(spark):
+    df = spark.range(400).selectExpr(
+        "IF(id % 2 = 0, 7, id) AS doc_id",
+        "IF(id % 2 = 0, repeat('the quick brown fox jumps over lazy dogs ', 5), concat('text ', id)) AS text")
+    shards = Counter(p.sequence_id >> 32 for p in packing.pack(df, window=64, rows_per_shard=20).collect()
+                     if p.doc_id == 7 and p.start == 0)
+    assert sum(shards.values()) >= 200 and max(shards.values()) <= 60
+
+
 def test_wavelet_files_round_trip(docs, empty):
     rows = texts(docs)
     got = wavelet.token_files(docs, rows_per_partition=5, tokens_per_shard=300).orderBy("start").collect()
