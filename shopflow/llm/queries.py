@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopflow.llm import (embeddings, exact, langid, mixing, packing, rollups, sharding, simhash,
-                          warc, wavelet)
+from shopflow.llm import (embeddings, exact, extract, langid, mixing, packing, rollups, sharding, signatures,
+                          simhash, trie, warc, wavelet)
 from shopflow.llm.common import materialise, shared_path
 from shopflow.llm.tokens import vocabulary_path
 from shopflow.session import import_in_workers
@@ -80,6 +80,18 @@ def op10_itq(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_signature_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return signatures.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_host_consensus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_language_id": op2_language_id,
@@ -91,6 +103,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_wavelet": op8_wavelet,
     "op9_rendezvous": op9_rendezvous,
     "op10_itq": op10_itq,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_signature_search": op12_signature_search,
+    "op13_host_consensus": op13_host_consensus,
 }
 
 ORACLE: dict[str, str] = {
@@ -118,4 +133,63 @@ ORACLE: dict[str, str] = {
         FROM (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
               FROM documents)
         WINDOW same AS (PARTITION BY text_sha256)""",
+    "op11_prefix_trie": """
+        WITH steps AS (
+            SELECT list(v ORDER BY i) AS table_
+            FROM (SELECT i, list_reduce(list_prepend(i, range(8)), lambda a, b:
+                      CASE WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS v
+                  FROM range(256) AS r(i))),
+        talks AS (
+            SELECT conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')} ORDER BY turn NULLS FIRST) AS s
+            FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+        starts AS (
+            SELECT conv_id, s, xor(list_reduce(
+                list_prepend(4294967295, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ord(c) AS BIGINT))),
+                lambda a, c: xor(a >> 8, table_[(xor(a, c) & 255) + 1])), 4294967295) % 9 AS h
+            FROM talks, steps),
+        rebuilt AS (
+            SELECT c.conv_id, list_concat(coalesce(b.s[1:c.h], []), c.s[c.h + 1:]) AS s
+            FROM starts c LEFT JOIN talks b ON b.conv_id = c.conv_id - c.conv_id % 5),
+        nodes AS (
+            SELECT s[1:d] AS p, d AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+                   (count(*) - 1) * CASE WHEN d = 0 THEN 0 ELSE any_value(strlen(s[d].text)) END AS saved,
+                   sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)
+                                   FILTER (WHERE len(s) = d), '')) AS ends_sha256
+            FROM rebuilt, LATERAL (SELECT unnest(range(0, len(s) + 1)) AS d) GROUP BY p, d),
+        parents AS (
+            SELECT n.*, u.conv_id AS parent_conv_id, (SELECT count(*) FROM nodes k WHERE k.depth = n.depth + 1 AND k.p[1:n.depth] = n.p) AS n_children
+            FROM nodes n LEFT JOIN nodes u ON u.depth = n.depth - 1 AND u.p = n.p[1:n.depth - 1]),
+        sums AS (
+            SELECT p[1:e] AS top, e, sum(saved) AS saved_tokens, count(*) FILTER (WHERE n_children = 0) AS n_leaves
+            FROM parents, LATERAL (SELECT unnest(range(0, depth + 1)) AS e) GROUP BY top, e)
+        SELECT conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, ends_sha256
+        FROM parents JOIN sums ON top = p AND e = depth""",
+    "op12_signature_search": r"""
+        WITH parts AS (
+            SELECT doc_id, row_number() OVER () AS r, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM documents),
+        asked AS (
+            SELECT item_id, term, count(*) AS times
+            FROM (SELECT item_id, unnest(regexp_extract_all(
+                      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark)
+            GROUP BY item_id, term),
+        sizes AS (SELECT r, any_value(doc_id) AS doc_id, count(*) AS n FROM parts GROUP BY r),
+        whole AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS terms FROM sizes),
+        occurs AS (SELECT r, term, count(*) AS tf FROM parts WHERE term IN (SELECT term FROM asked) GROUP BY r, term),
+        weights AS (
+            SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+            FROM occurs, whole GROUP BY term, docs),
+        scores AS (
+            SELECT item_id, doc_id, r, CAST(sum(times * w * ((1000000000 * tf) // (
+                1000 * tf + 8 * (100 - 75 + (75 * n * docs) // terms)))) AS BIGINT) AS score
+            FROM asked JOIN weights USING (term) JOIN occurs USING (term) JOIN sizes USING (r), whole
+            GROUP BY item_id, doc_id, r),
+        ranked AS (
+            SELECT item_id, doc_id, score,
+                   CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank
+            FROM scores WHERE score > 0)
+        SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10""",
 }
