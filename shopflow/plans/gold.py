@@ -15,6 +15,8 @@ Scale notes (each function repeats the ones that matter to it):
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -193,7 +195,7 @@ def recent_clicks(history: DataFrame, ts_col: str = "shoe_clickstream_ts", as_of
 
 # ---------------------------------------------------------------- interval
 
-def interactions_before_buy(orders: DataFrame, history: DataFrame) -> DataFrame:
+def interactions_before_buy(orders: DataFrame, history: DataFrame, strict: bool = False) -> DataFrame:
     """``customer_interact_before_buy``.
 
     For every distinct order row (customer, order, product, ts): the clicks of
@@ -202,6 +204,9 @@ def interactions_before_buy(orders: DataFrame, history: DataFrame) -> DataFrame:
     both ends inclusive; summed per (customer, order).  Orders whose customer
     never clicked that product are absent; orders with only clicks outside the
     interval show 0.  ``history`` is the V2 click history (clicks joined to shoes).
+
+    ``strict=True`` counts only clicks before the order's second, and leaves out orders
+    without any, the notebook's commented filter ``order time > click time``.
     """
     # an order of an unknown (NULL) product still ends the interval of the next order
     placed = orders.filter(F.col("customer_id").isNotNull()).select(
@@ -220,6 +225,8 @@ def interactions_before_buy(orders: DataFrame, history: DataFrame) -> DataFrame:
         F.col("view_time").isNotNull().cast("long").alias("_nv"),
         F.coalesce(F.col("view_time"), F.lit(0)).cast("long").alias("_s"),
     )
+    if strict:
+        return _strictly_before(intervals, clicks)
     # _all: every joined click row of the pair, any time (NULL times too) --
     # it decides whether the order appears at all, and the NULL rule below
     per_order = interval_totals(intervals, clicks, ["customer_id", "product_id"], "_lo", "_hi", "_t",
@@ -235,6 +242,25 @@ def interactions_before_buy(orders: DataFrame, history: DataFrame) -> DataFrame:
     )
 
 
+def _strictly_before(intervals: DataFrame, clicks: DataFrame) -> DataFrame:
+    """Each order asks twice: for its interval, and for all time before it, which its joined rows fill."""
+    end = F.col("_hi") - F.make_dt_interval(secs=F.lit(0.000001))
+    asked = intervals.select("customer_id", "order_id", "product_id", F.inline(F.array(
+        F.struct(F.lit(0).alias("_whole"), F.col("_lo"), end.alias("_hi")),
+        F.struct(F.lit(1).alias("_whole"), ntz_literal(_dt.datetime.min).alias("_lo"), end.alias("_hi")))))
+    totals = interval_totals(asked, clicks, ["customer_id", "product_id"], "_lo", "_hi", "_t", ["_n", "_nv", "_s"],
+                             ["customer_id", "order_id", "_whole"], "_all")
+
+    def of(measure: str, whole: int):
+        return F.sum(F.when(F.col("_whole") == whole, F.col(measure)).otherwise(F.lit(0)))
+
+    per_order = totals.groupBy("customer_id", "order_id").agg(
+        of("_n", 0).alias("_n"), of("_nv", 0).alias("_nv"), of("_s", 0).alias("_s"), of("_n", 1).alias("_all"))
+    return per_order.filter(F.col("_all") > 0).select(
+        "customer_id", "order_id", F.col("_n").alias("interact_count_before_buy"),
+        F.when(F.col("_n") - F.col("_nv") != F.col("_all"), F.col("_s")).alias("view_duration_before_buy"))
+
+
 def customer_feature(interactions: DataFrame, history: DataFrame, customers: DataFrame,
                      rank_by: str = "average") -> DataFrame:
     """``customer_feature``: per customer the average view time per click

@@ -6,22 +6,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import LongType, StructField, StructType
 
 from shopflow.schemas import BRONZE
+from shopflow.sources import versions
 
 
 def create_bronze_tables(spark: SparkSession, database: str | None = None, fmt: str = "parquet",
                          replace: bool = True) -> list[str]:
     """Create the five empty bronze tables (``CREATE OR REPLACE TABLE``).
 
-    The default format is parquet; pass ``fmt="delta"`` where the Delta jar is
-    installed.  Returns the qualified names.
+    Each is an empty version behind its name, so a complete-mode stream can take it over and a
+    second set-up can follow a stream.  The default format is parquet; pass ``fmt="delta"`` where the
+    Delta jar is installed.  Returns the qualified names.
     """
     names = []
     for table, schema in BRONZE.items():
         name = f"{database}.{table}" if database else table
-        if replace:
-            spark.sql(f"DROP TABLE IF EXISTS {name}")
-        if not spark.catalog.tableExists(name):
-            spark.catalog.createTable(name, schema=schema, source=fmt)
+        if replace or not spark.catalog.tableExists(name):
+            versions.create_empty(spark, name, schema, fmt)
         names.append(name)
     return names
 
@@ -29,14 +29,13 @@ def create_bronze_tables(spark: SparkSession, database: str | None = None, fmt:
 def snapshot(df: DataFrame, name: str, fmt: str = "parquet", partition_by: list[str] | None = None) -> DataFrame:
     """``CREATE OR REPLACE TABLE name AS <df>``; returns the table.
 
-    A written table also cuts the lineage of a long chain of transformations.
+    The new rows are written beside the old ones and swapped in at once: permanent views over ``name``
+    and readers at work never find it missing.  A written table also cuts the lineage of a long chain of
+    transformations.
     """
     if partition_by:  # few files per partition value; a large value is split
         df = df.hint("rebalance", *partition_by)
-    writer = df.write.mode("overwrite").format(fmt)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(name)
+    versions.replace_table(df, name, fmt, partition_by)
     return df.sparkSession.table(name)
 
 

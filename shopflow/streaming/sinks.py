@@ -1,27 +1,28 @@
 """Streaming sinks and triggers.
 
 ``complete`` mode rewrites the whole result every micro-batch (the reference's
-choice; cost grows with history): each batch writes a new version beside the
-current one, then a pointer is swapped in one step, so a reader always sees one whole version
-and a crash leaves the last one.  For a folder the pointer is the file ``CURRENT``
-(``read_current`` follows it), for a table it is a view of the version's table.
+choice; cost grows with history): each batch is a new version, then a pointer is swapped in one
+step (``shopflow.sources.versions``), so a reader always sees one whole version, also while a batch
+is repeated after a crash or a run starts on another checkpoint.  For a folder ``read_current``
+follows the pointer, a catalog name is read as a table.
 
 ``update`` mode writes only the payloads that a batch changed, as one slice per
-batch; ``read_updates`` keeps each payload's latest times.  A repeated batch
-overwrites its own slice.
+batch; ``read_updates`` keeps each payload's latest times, and ``fold_updates`` merges the
+slices so far into one.  A repeated batch overwrites its own slice.
 
 ``append`` mode writes rows once, through the file sink's commit log.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from shopflow.functions.columns import payload_columns
 from shopflow.operators.dedup import latest_by_payload
-
-POINTER = "CURRENT"
+from shopflow.sources import versions
 
 
 def trigger_kwargs(trigger: str | None) -> dict:
@@ -43,89 +44,100 @@ def _one_sink(path: str | None, table: str | None) -> None:
         raise ValueError("give exactly one of path and table")
 
 
-def _start(df: DataFrame, mode: str, checkpoint: str, trigger: str | None, query_name: str | None, per_batch):
+def start_batches(df: DataFrame, mode: str, checkpoint: str, trigger: str | None, query_name: str | None,
+                  per_batch) -> StreamingQuery:
     w = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(per_batch)
     if query_name:
         w = w.queryName(query_name)
     return w.trigger(**trigger_kwargs(trigger)).start()
 
 
-def _swap_pointer(spark: SparkSession, path: str, version: str) -> None:
-    """Point ``path`` at ``version`` by one atomic rename."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    fs = jvm.org.apache.hadoop.fs
-    new, current = fs.Path(f"{path}/{POINTER}.new"), fs.Path(f"{path}/{POINTER}")
-    store = fs.FileSystem.newInstance(new.toUri(), conf)
-    store.setWriteChecksum(False)  # a checksum file could not be swapped in the same step
-    out = store.create(new, True)
-    out.write(bytearray(version.encode()))
-    out.close()
-    store.close()
-    options = spark.sparkContext._gateway.new_array(fs.Options.Rename, 1)
-    options[0] = fs.Options.Rename.OVERWRITE
-    fs.FileContext.getFileContext(new.toUri(), conf).rename(new, current, options)
-
-
-def current_version(spark: SparkSession, path: str) -> str:
-    """Folder of the version that ``path`` points at."""
-    jvm = spark._jvm
-    at = jvm.org.apache.hadoop.fs.Path(f"{path}/{POINTER}")
-    source = at.getFileSystem(spark._jsc.hadoopConfiguration()).open(at)
-    try:
-        return f"{path}/{jvm.org.apache.commons.io.IOUtils.toString(source, 'UTF-8')}"
-    finally:
-        source.close()
+def run_of(checkpoint: str) -> str:
+    """A name for the runs on one checkpoint: batch numbers count anew on another."""
+    return hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:12]
 
 
 def read_current(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """The current version of a complete-mode folder."""
-    return spark.read.format(fmt).load(current_version(spark, path))
+    return spark.read.format(fmt).load(versions.current_folder(spark, path))
 
 
 def write_complete(df: DataFrame, path: str | None, checkpoint: str, trigger: str | None = "availableNow",
                    fmt: str = "parquet", query_name: str | None = None,
                    table: str | None = None) -> StreamingQuery:
     """Complete-mode result, a new version after each micro-batch, at ``path``
-    or behind the catalog view ``table``.
-
-    The last two versions stay, so a reader that has just looked the pointer up can finish.
-    """
+    or under the catalog name ``table``, which the bronze DDL may have made before."""
     _one_sink(path, table)
+    if path:
+        versions.clean_folder(df.sparkSession, path)
 
     def rewrite(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         if table:
-            batch.write.mode("overwrite").format(fmt).saveAsTable(f"{table}__v{batch_id}")
-            spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT * FROM {table}__v{batch_id}")
-            if batch_id >= 2:
-                spark.sql(f"DROP TABLE IF EXISTS {table}__v{batch_id - 2}")
-            return
-        batch.write.mode("overwrite").format(fmt).save(f"{path}/v{batch_id}")
-        _swap_pointer(spark, path, f"v{batch_id}")
-        old = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/v{batch_id - 2}")
-        old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
+            versions.replace_table(batch, table, fmt)
+        else:
+            versions.replace_folder(batch, path, fmt)
 
-    return _start(df, "complete", checkpoint, trigger, query_name, rewrite)
+    return start_batches(df, "complete", checkpoint, trigger, query_name, rewrite)
 
 
 def write_update(df: DataFrame, path: str, checkpoint: str, trigger: str | None = "availableNow",
-                 fmt: str = "parquet", query_name: str | None = None) -> StreamingQuery:
+                 fmt: str = "parquet", query_name: str | None = None, fold_every: int = 64) -> StreamingQuery:
     """Update-mode result: each micro-batch writes the payloads it changed to
-    ``path/batch=<id>``; read them with ``read_updates``."""
+    ``path/slices/<run>-<batch>``; read them with ``read_updates``.  After every ``fold_every``
+    batches the slices so far become one."""
+    run = run_of(checkpoint)
 
     def add(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").format(fmt).save(f"{path}/batch={batch_id}")
+        batch.write.mode("overwrite").format(fmt).save(f"{path}/slices/{run}-{batch_id:012d}")
+        if batch_id % fold_every == fold_every - 1:
+            fold_updates(batch.sparkSession, path, fmt)
+
+    return start_batches(df, "update", checkpoint, trigger, query_name, add)
 
-    return _start(df, "update", checkpoint, trigger, query_name, add)
+
+def _parts(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
+    """(folders to read, slices among them): the folded base, then the slices that it lacks."""
+    words = versions.pointer(spark, path)
+    folded = dict(w.rsplit("-", 1) for w in (words[1].split(",") if words else []) if w != "-")
+    new = []
+    for name in versions.folders(spark, f"{path}/slices"):
+        run, batch = name.rsplit("-", 1)
+        if int(batch) > int(folded.get(run, -1)):
+            new.append(name)
+    return ([f"{path}/{words[0]}"] if words else []) + [f"{path}/slices/{n}" for n in new], new
 
 
 def read_updates(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Every payload once, with its latest times, from the slices of ``write_update``."""
-    rows = spark.read.format(fmt).load(path).drop("batch")
+    rows = spark.read.format(fmt).load(_parts(spark, path)[0])
     latest = [c for c in ("ts", "arrive_dt") if c in rows.columns]
     return latest_by_payload(rows, payload_columns(rows.columns), latest)
 
 
+def fold_updates(spark: SparkSession, path: str, fmt: str = "parquet") -> int:
+    """Merge the slices so far into one folder; returns how many slices ``read_updates`` need not list any more.
+
+    The merged slices are removed by the fold after the next one, so readers can finish.
+    """
+    new = _parts(spark, path)[1]
+    if not new:
+        return 0
+    words = versions.pointer(spark, path)
+    last = dict(w.rsplit("-", 1) for w in (words[1].split(",") if words else []) if w != "-")
+    before = dict(w.rsplit("-", 1) for w in (words[3].split(",") if len(words) > 3 else []) if w != "-")
+    upto = dict(last)
+    for name in new:
+        run, batch = name.rsplit("-", 1)
+        upto[run] = max(upto.get(run, batch), batch)
+    versions.replace_folder(read_updates(spark, path, fmt), path, fmt,
+                            note=",".join(f"{r}-{b}" for r, b in sorted(upto.items())))
+    for name in versions.folders(spark, f"{path}/slices"):
+        run, batch = name.rsplit("-", 1)
+        if int(batch) <= int(before.get(run, -1)):
+            versions.delete(spark, f"{path}/slices/{name}")
+    return len(new)
+
+
 def write_append(df: DataFrame, path: str | None, checkpoint: str, trigger: str | None = "availableNow",
                  fmt: str = "parquet", query_name: str | None = None,
                  table: str | None = None) -> StreamingQuery:

@@ -4,6 +4,7 @@ import os
 
 from shopflow import fixtures as fx
 from shopflow.plans.bronze import bronze
+from shopflow.sources.versions import pointer
 from shopflow.sources.replay import read_messages, write_messages
 from shopflow.streaming.ingest import ingest, stop_all
 from shopflow.streaming.sinks import read_current, read_updates, trigger_kwargs, write_memory
@@ -159,7 +160,7 @@ def test_a_reader_never_fails_during_a_rewrite(spark, scratch):
     q = ingest(spark, read_messages(spark, src, max_files_per_trigger=1), "shoe_orders", out)
     seen = []
     while q.isActive:
-        if os.path.exists(os.path.join(out, "CURRENT")):
+        if pointer(spark, out):
             seen.append(read_current(spark, out).count())
     q.awaitTermination()
     assert seen == sorted(seen) and read_current(spark, out).count() == 4
