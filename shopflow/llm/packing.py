@@ -55,10 +55,10 @@ class Corpus(NamedTuple):
         return self.idf[terms] * tf * (k1 + 1) / (tf + (k1 * (1 - b) + k1 * b / max(self.mean, 1) * size))
 
 
-def run_keys(ids: np.ndarray) -> np.ndarray:
-    """The ``RUN_KEYS`` smallest hashes of the runs of ``RUN`` ids, as odd numbers."""
+def run_hashes(ids: np.ndarray) -> np.ndarray:
+    """A hash of the run of ``RUN`` ids that begins at each place."""
     if len(ids) < RUN:
-        return np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64)
     step = 8 // ids.itemsize  # ids in 64 bits
     h = np.ndarray(len(ids) - step + 1, "<u8", np.ascontiguousarray(ids), strides=ids.itemsize)
     while step < RUN:  # hashes of runs of twice the length
@@ -66,14 +66,21 @@ def run_keys(ids: np.ndarray) -> np.ndarray:
         h ^= h >> np.uint64(29)
         h *= np.uint64(0xBF58476D1CE4E5B9)
         step *= 2
-    h ^= h >> np.uint64(32)
+    return h ^ (h >> np.uint64(32))
+
+
+def run_keys(h: np.ndarray) -> np.ndarray:
+    """The ``RUN_KEYS`` smallest of a document's run hashes, as odd numbers."""
+    if not len(h):
+        return h.view(np.int64)
     h = np.sort(np.partition(h, RUN_KEYS - 1)[:RUN_KEYS] if len(h) > RUN_KEYS else h) | np.uint64(1)
     return h[np.concatenate([[True], h[1:] != h[:-1]])].view(np.int64)
 
 
 def term_keys(terms: np.ndarray, weight: np.ndarray) -> list[int]:
-    """The terms of the largest weights and their pairs; even numbers."""
-    top = sorted(terms[np.argsort(-weight, kind="stable")[:TELLING]].tolist())
+    """The terms of the largest weights over 0 and their pairs; even numbers."""
+    at = np.argsort(-weight, kind="stable")[:TELLING]
+    top = sorted(terms[at[weight[at] > 0]].tolist())
     pairs = [(a + 1 << 32 | b + 1) << 1 for i, a in enumerate(top) for b in top[i + 1:]]
     return [t + 1 << 1 for t in top] + pairs
 
@@ -186,25 +193,30 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabu
 
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = encoder(vocabulary)
-        end = np.array([end_id], model.dtype)
         df = np.zeros(max(model.model.get_vocab_size(), end_id + 1), np.int64)
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
             for first, ids, offsets in model.encode(batch.column("text")):
                 out: list[tuple] = []
+                held: list[np.ndarray] = []
                 doc_ids = batch.column("doc_id").slice(first, len(offsets) - 1).to_pylist()
-                for doc_id, a, b in zip(doc_ids, offsets[:-1].tolist(), offsets[1:].tolist()):
-                    own = np.concatenate([ids[a:b], end])
+                ids = np.insert(ids, offsets[1:], end_id)
+                edges = (offsets + np.arange(len(offsets))).tolist()
+                runs = run_hashes(ids)
+                for doc_id, a, b in zip(doc_ids, edges[:-1], edges[1:]):
+                    own = ids[a:b]
                     full = len(own) // window * window
                     terms, tf = counted(own)
-                    df[terms] += 1
+                    held.append(terms)
                     crcs = [ids_crc32(own[s:s + window]) for s in range(0, full, window)]
                     out.append((row, doc_id, len(own), crcs,
                                 own[full:].tobytes(),
                                 terms.astype("<u4").tobytes() if full else None,
-                                tf.astype("<u4").tobytes() if full else None, run_keys(own), None, None))
+                                tf.astype("<u4").tobytes() if full else None,
+                                run_keys(runs[a:max(a, b - RUN + 1)]), None, None))
                     row += 1
                 if out:
+                    df += np.bincount(np.concatenate(held), minlength=len(df))
                     yield batch_of(out)
         seen = np.flatnonzero(df)
         yield batch_of([(*[None] * 8, t, k) for t, k in zip(seen.tolist(), df[seen].tolist())])
@@ -236,12 +248,14 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabu
 
     def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = []
-            for ids, terms, tf, size in zip(*(batch.column(c).to_pylist() for c in ("ids", "terms", "tf", "doc_tokens"))):
-                term, count = terms_of(ids, terms, tf)
-                several = corpus.df[term] > 1
-                term, count = term[several], count[several]
-                keys.append(term_keys(term, corpus.weight(term, count, size)))
+            sizes = batch.column("doc_tokens").to_numpy()
+            pairs = [terms_of(*d) for d in zip(*(batch.column(c).to_pylist() for c in ("ids", "terms", "tf")))]
+            term = np.concatenate([t for t, _ in pairs]) if pairs else np.zeros(0, np.int64)
+            weight = corpus.weight(term, np.concatenate([k for _, k in pairs]) if pairs else term,
+                                   np.repeat(sizes, [len(t) for t, _ in pairs]))
+            weight[corpus.df[term] < 2] = 0  # a term of one document tells nothing
+            edges = np.cumsum([0] + [len(t) for t, _ in pairs]).tolist()
+            keys = [term_keys(term[a:b], weight[a:b]) for a, b in zip(edges[:-1], edges[1:])]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row"), pa.array(keys, pa.list_(pa.int64())), batch.column("keys")],
                 names=["row", "by_term", "by_run"])

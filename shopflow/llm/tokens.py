@@ -1,10 +1,10 @@
 """Whole texts to token ids with the ``tokenizers`` library.
 
 The tokenizer drops white space and never lets a token cross it, so a text's ids
-are the ids of its white-space pieces in order.  Each batch is split into pieces
-in Arrow, every distinct piece is encoded once by the library, and the ids are
-laid out again with numpy.  Encoded pieces stay in a bounded two-generation
-cache of the Python worker.
+are the ids of its white-space words in order.  Each batch is split into words
+in Arrow, every distinct word is cut around punctuation into pieces, every distinct piece is
+encoded once by the library, and the ids are laid out again with numpy.  Encoded pieces stay in a
+bounded two-generation cache of the Python worker.
 """
 
 from __future__ import annotations
@@ -12,13 +12,14 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: characters whose class and lower case every Unicode version agrees on; only texts
+#: characters whose class and lower case every Unicode version agrees on; only words
 #: made of them are also cut around punctuation, which makes pieces repeat more
 _PLAIN = r"[^\x00-\x7F\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{FF}]"
 #: the tokenizer's own cuts (fixed values of its pre-tokenizer)
@@ -32,10 +33,17 @@ def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def _gather(flat: np.ndarray, size: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs ``index`` of ``flat``, whose runs have the sizes ``size``, one after the other, and all their ends."""
+    at, n = np.cumsum(size) - size, size[index]
+    ends = np.concatenate([[0], np.cumsum(n)])
+    return flat[np.arange(ends[-1]) + np.repeat(at[index] - ends[:-1], n)], ends
+
+
 class Encoder:
-    """Encodes Arrow string arrays; ``cache`` bounds the pieces kept per worker."""
+    """Encodes Arrow string arrays; ``cache`` bounds the pieces kept per worker (about 200 bytes each)."""
 
-    def __init__(self, path: str, cache: int = 600_000, chunk_bytes: int = 8 << 20):
+    def __init__(self, path: str, cache: int = 160_000, chunk_bytes: int = 4 << 20):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -44,21 +52,24 @@ class Encoder:
         self.half, self.chunk_bytes = cache // 2, chunk_bytes
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        # the tokenizer's own spelling of the letters beyond ASCII in its vocabulary
+        self.spelling = {ord(c): "".join(piece for piece, _ in self.model.pre_tokenizer.pre_tokenize_str(c))
+                         for c in map(chr, range(0xE0, 0x100)) if _LETTERS(c)}
         self.dtype = np.dtype("<u2" if self.model.get_vocab_size() <= 1 << 16 else "<u4")
 
     def _learn(self, pieces: list[str]) -> dict[str, bytes]:
         """Ids of pieces that the cache lacks."""
-        single = [p for p in pieces if _LETTERS(p)]
         found: dict[str, bytes] = {}
-        if single:
-            code = self.model.encode(" ".join(single), add_special_tokens=False)
-            ids, words = np.array(code.ids, self.dtype), np.array(code.word_ids)
-            ends = np.searchsorted(words, np.arange(len(single) + 1))
-            raw, width = ids.tobytes(), self.dtype.itemsize
-            found = {p: raw[a * width:b * width] for p, a, b in zip(single, ends[:-1], ends[1:])}
-        rest = [p for p in pieces if p not in found]
+        width, merge = "H" if self.dtype.itemsize == 2 else "I", self.model.model.tokenize
+        rest = []
+        for p in pieces:
+            if _LETTERS(p):  # one pre-token that the normaliser leaves as it is
+                spelt = p if p.isascii() else p.translate(self.spelling)
+                found[p] = array(width, [t.id for t in merge(spelt)]).tobytes()
+            else:
+                rest.append(p)
         for p, code in zip(rest, self.model.encode_batch_fast(rest, add_special_tokens=False)):
-            found[p] = np.array(code.ids, self.dtype).tobytes()
+            found[p] = array(width, code.ids).tobytes()
         return found
 
     def _ids_of(self, pieces: list[str]) -> list[bytes]:
@@ -77,21 +88,25 @@ class Encoder:
             self.old, self.young = (young if len(young) <= 2 * self.half else {}), {}
         return out
 
-    def _chunk(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        plain = pc.invert(pc.match_substring_regex(texts, _PLAIN))
-        cut = pc.replace_substring_regex(pc.utf8_lower(texts), _CUTS, r" \1 ")
-        words = pc.ascii_split_whitespace(pc.if_else(plain, cut, texts))
-        coded = words.flatten().dictionary_encode()
+    def _pieces(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct words, and where each word's begin (and the last one's end)."""
+        plain = pc.invert(pc.match_substring_regex(words, _PLAIN))
+        cut = pc.replace_substring_regex(pc.utf8_lower(words), _CUTS, r" \1 ")
+        pieces = pc.ascii_split_whitespace(pc.if_else(plain, cut, words))
+        coded = pieces.flatten().dictionary_encode()
         ids = self._ids_of(coded.dictionary.to_pylist())
         flat = np.frombuffer(b"".join(ids), self.dtype)
         size = np.array([len(b) for b in ids], np.int64) // self.dtype.itemsize
-        at = np.cumsum(size) - size
-        index = coded.indices.to_numpy()
-        n = size[index]
-        ends = np.cumsum(n)
-        out = flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(at[index] - (ends - n), n)]
-        words_before = words.offsets.to_numpy().astype(np.int64) - words.offsets[0].as_py()
-        return out, np.concatenate([[0], ends])[words_before]
+        out, ends = _gather(flat, size, coded.indices.to_numpy())
+        starts = pieces.offsets.to_numpy().astype(np.int64) - pieces.offsets[0].as_py()
+        return out, ends[starts]
+
+    def _chunk(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        words = pc.ascii_split_whitespace(texts)
+        coded = words.flatten().dictionary_encode()
+        flat, at = self._pieces(coded.dictionary)
+        out, ends = _gather(flat, np.diff(at), coded.indices.to_numpy())
+        return out, ends[words.offsets.to_numpy().astype(np.int64) - words.offsets[0].as_py()]
 
     def encode(self, texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(first row, ids, offsets of its rows in ids) for chunks of the rows; null is empty."""
