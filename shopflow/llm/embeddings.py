@@ -3,7 +3,7 @@
 A rotation learned on a bounded sample turns vectors into balanced binary codes.
 Codes are cut into chunks; every set of ``agree`` chunks is a table, whose buckets
 hold the vectors that agree in those chunks.  Their numbers are the cheapest that find enough partners
-of the sampled vectors at the threshold (``scheme``); with no chunk to agree in, all vectors are compared.  Inside a bucket the cosine of the original
+of the sampled vectors at the threshold (``scheme``), at every size of the table.  Inside a bucket the cosine of the original
 vectors decides.  A pair counts in the first table where it meets, so nothing is counted
 twice; a bucket gives each vector's number of links and its component, never its pairs.
 Buckets over ``block`` vectors are cut into pairs of blocks, which all get compared.
@@ -79,13 +79,16 @@ def partners(u: np.ndarray, cosine: float, seed: int = 11) -> list[np.ndarray]:
 
 
 def scheme(u: np.ndarray, quantiser: Quantiser, threshold: float, rows: int, pairs: int,
-           target: float = 0.99, row_cost: int = 600, most_tables: int = 200) -> tuple[int, int]:
+           target: float = 0.998, row_cost: int = 600, most_tables: int = 200) -> tuple[int, int]:
     """(chunks, agree) of the least work for ``rows`` vectors in ``pairs`` comparable pairs, among those
-    that let at least ``target`` of the vectors ``u`` meet their partners at the threshold."""
+    that let at least ``target`` of the vectors ``u`` meet their partners at the threshold.
+
+    Chunks of one bit, one of which must agree, always do but for opposite codes.
+    """
     bits, own = min(BITS, u.shape[1]), quantiser.codes(u).view(np.uint64)
     flips = [((own ^ quantiser.codes(v).view(np.uint64))[:, None] >> np.arange(bits, dtype=np.uint64)) & np.uint64(1)
              for v in partners(u, threshold)]
-    best = (row_cost * rows + pairs, (1, 0))  # all pairs
+    best = (float("inf"), (bits, 1))
     for chunks in range(1, bits + 1):
         width = bits // chunks
         same = [(~f[:, :chunks * width].reshape(len(u), chunks, width).any(axis=2)).sum(axis=1) for f in flips]
@@ -151,16 +154,17 @@ def _valid(v: Column) -> Column:
 
 def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
                  label_col: str = "label", threshold: float = 0.98, sample: int = 4096,
-                 block: int = 2048) -> DataFrame:
+                 lengths: int = 16, block: int = 2048) -> DataFrame:
     """vec_id, n_links, component_id, kept: one row per row of ``vectors``.
 
     Vectors link when their labels are equal and not null, their lengths equal and their cosine at
     least ``threshold``.  Null, zero and empty vectors, and those with a null or non-finite
     component, link with nothing.  Each row is a vector of its own, repeated rows and
     null ids too; component_id is null where no row of a component has an id.  An empty table gives
-    no rows.  Other columns are ignored.  The rotation is fitted on about ``sample`` different
-    vectors, those of the smallest hashes; every vector is indexed.  Vectors of a length with fewer than 32
-    in the sample are all compared.
+    no rows.  Other columns are ignored.  For each of the ``lengths`` most frequent vector lengths a rotation is fitted on about
+    ``sample`` different vectors, those of the smallest hashes; other lengths, and those with fewer than 32 vectors, get a
+    random rotation.  Every vector is indexed.  Vectors of d < 64 components have d bits, so short ones share
+    buckets with many.
     """
     v = col(vector_col).cast("array<double>")
     usable = F.coalesce(_valid(v) & col(label_col).isNotNull(), F.lit(False))
@@ -173,19 +177,25 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     nodes = materialise(rows.filter("node IS NOT NULL").groupBy("node", "label", "v").agg(
         F.count("*").alias("n"), F.min("vec_id").alias("first")), "vectors")
 
-    # hashes are even, so the share of the range below a bound is the share of the vectors
-    share = min(1.0, sample / max(1, nodes.count()))
-    bound = int(share * (1 << 63)) if share < 1 else (1 << 63) - 1
-    picked = nodes.filter(F.xxhash64("node", F.lit(3)).bitwiseAND(F.lit((1 << 63) - 1)) <= bound).select("v").collect()
-    by_length: dict[int, list] = {}
-    for r in sorted(picked):
-        by_length.setdefault(len(r["v"]), []).append(r["v"])
-    sampled = {d: unit(np.array(x)) for d, x in by_length.items() if len(x) >= 32}
+    work = nodes.groupBy(F.size("v").alias("d"), "label").agg(F.count("*").cast("double").alias("n")).groupBy("d").agg(
+        F.sum("n"), F.sum(F.col("n") * F.col("n"))).collect()  # a row per vector length
+    frequent = sorted(work, key=lambda r: (-r[1], r[0]))[:lengths]
+    sampled: dict[int, np.ndarray] = {}
+    if frequent:
+        # hashes are even, so the share of the range below a bound is the share of the vectors
+        bounds = F.create_map(*(F.lit(x) for d, n, _ in frequent
+                                for x in (d, min((1 << 63) - 1, int(min(1.0, sample / n) * (1 << 63))))))
+        low = F.xxhash64("node", F.lit(3)).bitwiseAND(F.lit((1 << 63) - 1)) <= F.element_at(bounds, F.size("v"))
+        by_length: dict[int, list] = {}
+        for r in sorted(nodes.filter(low).select("v").collect()):
+            by_length.setdefault(len(r["v"]), []).append(r["v"])
+        sampled = {d: unit(np.array(x)) for d, x in by_length.items() if len(x) >= 32}
     quantiser = Quantiser({d: fit_rotation(u) for d, u in sampled.items()})
-    work = nodes.filter(F.size("v").isin(list(sampled))).groupBy(F.size("v").alias("d"), "label").agg(
-        F.count("*").cast("double").alias("n")).groupBy("d").agg(F.sum("n"), F.sum(F.col("n") * F.col("n"))).collect()
-    schemes = {d: scheme(sampled[d], quantiser, threshold, n, pairs) for d, n, pairs in work}
-    every = (1, 0)
+
+    def typical(d: int) -> np.ndarray:
+        return sampled[d] if d in sampled else unit(np.random.default_rng(d).normal(size=(1024, d)))
+
+    schemes = {d: scheme(typical(d), quantiser, threshold, n, pairs) for d, n, pairs in work}
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -198,7 +208,7 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
                 own = np.flatnonzero(length == d)
                 u = unit(flat[at[own, None] + np.arange(d)])
                 code[own] = quantiser.codes(u)
-                chunks, agree = schemes.get(d, every)
+                chunks, agree = schemes[d]
                 parts, width = chunk_values(code[own], d, chunks), np.uint64(min(BITS, d) // chunks)
                 value = np.zeros((len(own), math.comb(chunks, agree)), np.uint64)
                 for t, s in enumerate(tables(chunks, agree)):
@@ -243,7 +253,7 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
                 a, b = a[cross], b[cross]
             if not len(a):
                 continue
-            chunks, agree = schemes.get(d[0], every)
+            chunks, agree = schemes[d[0]]
             same = chunk_values(code[a], d[0], chunks) == chunk_values(code[b], d[0], chunks)
             order = np.argsort(~same, axis=1, kind="stable")[:, :agree]
             here = (order == np.array(tables(chunks, agree)[g["t"][0].as_py()], int)).all(axis=1)

@@ -2,13 +2,15 @@
 
 History is every row up to a locator (doc_id) boundary, the batch what arrives
 after it.  The history's distinct digests are dealt to shards; each shard holds a
-minimal perfect hash whose slots keep the full digest and the winner's locator.
-A batch digest is looked up in its shard and compared byte for byte: members
-repeat history, nonmembers are grouped among themselves.
+minimal perfect hash whose slots keep the full digest, the winner's locator and its number of rows.
+A batch digest is looked up in its shard and compared byte for byte: members take the slot's winner and
+add to the slot's number, nonmembers are groups of their own.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -17,7 +19,7 @@ from pyspark.sql import functions as F
 from shopflow.llm.common import SPACES, col, free_name, materialise, spread
 
 _GAMMA = 2.0  # bits per key of a level: more make lookups shorter and the table larger
-INDEX = "shard int, slots long, sizes binary, bits binary, digests binary, winners binary, has_winner binary"
+INDEX = "shard int, slots long, sizes binary, bits binary, digests binary, winners binary, counts binary"
 
 
 def normalised(text: Column) -> Column:
@@ -74,48 +76,55 @@ def _matrix(digests: pa.ChunkedArray) -> np.ndarray:
 
 
 def build_index(history: DataFrame) -> DataFrame:
-    """Index rows, one per shard, of ``history`` (shard, digest binary, winner long; distinct digests)."""
+    """Index rows, one per shard, of ``history`` (shard, digest binary, first long, n long; distinct digests)."""
     def build(rows: pa.Table) -> pa.Table:
         digests = _matrix(rows["digest"])
         mph = PerfectHash.build(digests)
         order = np.argsort(mph.slots(digests))
-        winners = rows["winner"].combine_chunks()
         return pa.Table.from_pydict({
             "shard": pa.array([rows["shard"][0].as_py()], pa.int32()), "slots": [len(digests)],
             "sizes": [mph.sizes.astype("<i8").tobytes()], "bits": [np.packbits(mph.bits).tobytes()],
             "digests": [digests[order].tobytes()],
-            "winners": [winners.fill_null(0).to_numpy(zero_copy_only=False)[order].astype("<i8").tobytes()],
-            "has_winner": [winners.is_valid().to_numpy(zero_copy_only=False)[order].tobytes()]})
+            "winners": [rows["first"].to_numpy()[order].astype("<i8").tobytes()],
+            "counts": [rows["n"].to_numpy()[order].astype("<i8").tobytes()]})
 
     return history.groupBy("shard").applyInArrow(build, INDEX)
 
 
-def look_up(index: DataFrame, probe: DataFrame) -> DataFrame:
-    """``probe`` (shard, digest, first long, n long) with member and the historical winner."""
+def look_up(index: DataFrame, probe: DataFrame,
+            slots_of: Callable[[PerfectHash, np.ndarray], np.ndarray] = PerfectHash.slots) -> DataFrame:
+    """digest, keep_id, group_size, member: a row per slot with what members of ``probe`` (shard, digest, first, n)
+    add to it, and a row per nonmember."""
     def find(found: pa.Table, rows: pa.Table) -> pa.Table:
-        n = len(rows)
-        member, winner = np.zeros(n, bool), np.zeros(n, np.int64)
-        valid = np.zeros(n, bool)
-        if n and len(found):
+        probes, n = _matrix(rows["digest"]), rows["n"].to_numpy()
+        member, tables = np.zeros(len(rows), bool), []
+        if len(found):
             one = {c: found[c][0].as_py() for c in found.column_names}
             sizes = np.frombuffer(one["sizes"], "<i8")
             mph = PerfectHash(sizes, np.unpackbits(np.frombuffer(one["bits"], np.uint8),
                                                    count=int(sizes.sum())).astype(bool))
-            digests = _matrix(rows["digest"])
-            slots = mph.slots(digests)
             held = np.frombuffer(one["digests"], np.uint8).reshape(-1, 32)
-            member = (slots >= 0) & (held[slots] == digests).all(axis=1)
-            winner = np.where(member, np.frombuffer(one["winners"], "<i8")[slots], 0)
-            valid = member & np.frombuffer(one["has_winner"], bool)[slots]
-        return pa.table({"digest": rows["digest"], "n": rows["n"], "first": rows["first"],
-                         "member": pa.array(member), "winner": pa.array(winner, mask=~valid)})
+            counts = np.frombuffer(one["counts"], "<i8").copy()
+            if len(rows):
+                slots = slots_of(mph, probes)
+                member = (slots >= 0) & (held[slots] == probes).all(axis=1)
+                np.add.at(counts, slots[member], n[member])
+            tables.append(pa.table({
+                "digest": pa.array([d.tobytes() for d in held], pa.binary()),
+                "keep_id": pa.array(np.frombuffer(one["winners"], "<i8")), "group_size": pa.array(counts),
+                "member": pa.array(np.ones(len(held), bool))}))
+        rest = rows.filter(pa.array(~member))
+        tables.append(pa.table({"digest": rest["digest"], "keep_id": rest["first"], "group_size": rest["n"],
+                                "member": pa.array(np.zeros(len(rest), bool))}))
+        return pa.concat_tables(tables)
 
     return index.groupBy("shard").cogroup(probe.groupBy("shard")).applyInArrow(
-        find, "digest binary, n long, first long, member boolean, winner long")
+        find, "digest binary, keep_id long, group_size long, member boolean")
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 boundary: int | None = None, keys_per_shard: int = 65536) -> DataFrame:
+                 boundary: int | None = None, keys_per_shard: int = 65536,
+                 lookup: Callable[[DataFrame, DataFrame], DataFrame] = look_up) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256, from_history: one row per row of ``docs``.
 
     Rows with an id up to ``boundary`` (default: the middle of the id range) are the
@@ -137,14 +146,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         rows.groupBy("digest", old.alias("old"))
         .agg(F.min("doc_id").alias("first"), F.sum("n").alias("n"))
         .withColumn("shard", spread("digest", buckets=shards, seed=7)), "exact-digests")
-    history, probe = digests.filter("old"), digests.filter("NOT old")
-    index = materialise(build_index(history.withColumn("winner", F.col("first"))), "exact-index")
-    looked = look_up(index, probe)
-    groups = (history.select("digest", "n", F.col("first").alias("keep_id"))
-              .unionByName(looked.select("digest", "n", F.when(F.col("member"), F.col("winner"))
-                                         .otherwise(F.col("first")).alias("keep_id")))
-              .groupBy("digest").agg(F.min("keep_id").alias("keep_id"), F.sum("n").alias("group_size"))
-              .filter("group_size > 1"))
+    index = materialise(build_index(digests.filter("old")), "exact-index")
+    groups = lookup(index, digests.filter("NOT old")).filter("group_size > 1")
     # the groups are written first, so both sides of the join are plain shuffles that
     # Spark can split where one digest has many rows
     groups = materialise(groups, "exact-groups")
@@ -160,11 +163,13 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns.
 
-    Of rows that repeat id and text, one stays (any of them, should other columns differ).
+    Of rows that repeat id and text, the one whose columns have the smallest hash stays, the same on every run.
     """
     key = free_name(docs, "__row")
     keyed = docs.withColumn(key, F.concat_ws(
         ":", F.sha2(normalised(col(text_col)), 256), col(id_col).cast("string")))
     kept = exact_groups(docs, id_col, text_col, **options).filter("kept").select(
         F.concat_ws(":", "text_sha256", F.col("doc_id").cast("string")).alias(key))
-    return keyed.join(kept, key, "left_semi").dropDuplicates([key]).drop(key)
+    one = keyed.join(kept, key, "left_semi").groupBy(key).agg(
+        F.min_by(F.struct(*(col(c) for c in docs.columns)), F.xxhash64(*(col(c) for c in docs.columns))).alias("row"))
+    return one.select(*(F.col("row").getField(c).alias(c) for c in docs.columns))

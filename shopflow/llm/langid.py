@@ -32,32 +32,35 @@ def held_out(id_col: str = "doc_id", folds: int = 5) -> Column:
 
 
 def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id",
-        texts_per_language: int = 160, bytes_per_text: int = 1024, max_languages: int = 512) -> dict[str, bytes]:
+        texts_per_language: int = 160, bytes_per_text: int = 1024, max_bytes: int = 80 << 20) -> dict[str, bytes]:
     """Dictionary content by language, from a bounded sample of the labelled rows.
 
-    The bound: for each of at most ``max_languages`` labels about twice
-    ``texts_per_language`` ids of the smallest hashes are looked at, and that many
-    different texts taken, ``bytes_per_text`` from the start of each.  Rows without label or
-    letter are passed over; no rows: no language.
+    The bound: for each label about twice ``texts_per_language`` ids and 32 of the smallest hashes are looked at, and that
+    many different texts taken, of each the letters of ``bytes_per_text`` characters from a place that the id's hash
+    gives.  With so many labels that all this were more than ``max_bytes``, each has fewer texts, one at least.  Rows
+    without label or letter are passed over; no rows: no language.
     """
-    rows = labelled.filter(col(lang_col).isNotNull()).select(
-        col(lang_col).cast("string").alias("lang"), F.xxhash64(col(id_col)).alias("h"),
-        F.substring(col(text_col), 1, bytes_per_text).alias("part"))
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).limit(max_languages + 1).collect()
-    if len(counts) > max_languages:
-        raise ValueError(f"more than {max_languages} labels")
+    rows = labelled.filter(col(lang_col).isNotNull() & col(text_col).rlike(r"\p{L}")).select(
+        col(lang_col).cast("string").alias("lang"), F.xxhash64(col(id_col)).alias("h"), col(text_col).alias("text"))
+    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # a row a label
     if not counts:
         return {}
+    texts = max(1, min(texts_per_language, max_bytes // (len(counts) * bytes_per_text)))
     # hashes are even, so the share of the range below a bound is the share of the ids
-    last = {r["lang"]: min((1 << 64) * 2 * texts_per_language // r["n"], (1 << 64) - 1) - (1 << 63) for r in counts}
-    bound = F.element_at(F.create_map(*(F.lit(x) for pair in last.items() for x in pair)), F.col("lang"))
-    sample = rows.filter(F.col("h") <= bound).groupBy("lang", "h").agg(F.min("part").alias("part"))
+    last = labelled.sparkSession.createDataFrame(
+        [(lang, min((1 << 64) * (2 * texts + 32) // n, (1 << 64) - 1) - (1 << 63)) for lang, n in sorted(counts.items())],
+        "lang string, last long")
+    spread_out = F.regexp_replace("text", r"[^\p{L}]+", " ")
+    place = F.pmod(F.xxhash64("h", F.lit(2)), F.greatest(F.char_length("spelt") - bytes_per_text, F.lit(0)) + 1)
+    sample = rows.join(last, "lang").filter(F.col("h") <= F.col("last")).withColumn("spelt", spread_out).select(
+        "lang", "h", F.substring("spelt", place.cast("int") + 1, F.lit(bytes_per_text)).alias("part")).groupBy(
+        "lang", "h").agg(F.min("part").alias("part"))
     parts: dict[str, dict[str, None]] = {}
     for r in sorted(sample.collect(), key=lambda r: (r["lang"], r["h"])):
-        if r["part"] and any(map(str.isalpha, r["part"])):
+        if any(map(str.isalpha, r["part"])):
             parts.setdefault(r["lang"], {})[r["part"]] = None
     # the best matches are those nearest to the text, so the first picked go last
-    return {lang: b" ".join(letters(p)[:bytes_per_text] for p in reversed(list(own)[:texts_per_language]))
+    return {lang: b" ".join(letters(p)[:bytes_per_text] for p in reversed(list(own)[:texts]))
             for lang, own in sorted(parts.items())}
 
 

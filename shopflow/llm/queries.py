@@ -108,6 +108,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_host_consensus": op13_host_consensus,
 }
 
+#: CRC-32 of a byte: eight steps of the polynomial, as a list
+_CRC_STEPS = """steps AS (
+            SELECT list(v ORDER BY i) AS table_
+            FROM (SELECT i, list_reduce(list_prepend(i, range(8)), lambda a, b:
+                      CASE WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS v
+                  FROM range(256) AS r(i)))"""
+
 ORACLE: dict[str, str] = {
     "op1_mixing": """
         WITH sizes AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
@@ -133,12 +140,28 @@ ORACLE: dict[str, str] = {
         FROM (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
               FROM documents)
         WINDOW same AS (PARTITION BY text_sha256)""",
+    "op9_rendezvous": "WITH " + _CRC_STEPS + r""",
+        sized AS (
+            SELECT doc_id, strlen(coalesce(text, '')) + 16 AS size, xor(list_reduce(
+                list_prepend(4294967295, list_transform(
+                    regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda c: CAST('0x' || c AS BIGINT))),
+                lambda a, c: xor(a >> 8, table_[(xor(a, c) & 255) + 1])), 4294967295) AS text_crc32
+            FROM documents, steps),
+        drawn AS (
+            SELECT doc_id, s, -ln((CAST('0x' || substr(md5('9:' || doc_id || ':' || s), 1, 12) AS BIGINT) + 0.5::DOUBLE)
+                                  / 281474976710656.0::DOUBLE) AS draw
+            FROM (SELECT DISTINCT doc_id FROM documents), range(0, 41) AS shards(s)),
+        placed AS (
+            SELECT doc_id, arg_min(s, draw) FILTER (WHERE s < 40) AS shard, arg_min(s, draw) AS grown
+            FROM drawn GROUP BY doc_id)
+        SELECT doc_id, size, text_crc32, 'key' AS law, CAST(shard AS INTEGER) AS shard,
+               row_number() OVER (PARTITION BY shard ORDER BY
+                   CAST('0x' || substr(md5('part:' || doc_id || ':' || text_crc32), 1, 8) AS BIGINT) % 256,
+                   doc_id, text_crc32, size) - 1 AS slot,
+               CAST(grown AS INTEGER) AS grown_shard
+        FROM sized JOIN placed USING (doc_id)""",
     "op11_prefix_trie": """
-        WITH steps AS (
-            SELECT list(v ORDER BY i) AS table_
-            FROM (SELECT i, list_reduce(list_prepend(i, range(8)), lambda a, b:
-                      CASE WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS v
-                  FROM range(256) AS r(i))),
+        WITH """ + _CRC_STEPS + """,
         talks AS (
             SELECT conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')} ORDER BY turn NULLS FIRST) AS s
             FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),

@@ -11,16 +11,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from shopflow.llm.common import col, materialise, spread
+from shopflow.llm.common import col, materialise
+
+
+def _number(text: Column, digits: int) -> Column:
+    """An even number from the first hexadecimal digits of the text's MD5."""
+    return F.conv(F.substring(F.md5(text), 1, digits), 16, 10).cast("long")
 
 
 def _draws(key: Column, weights: list[float], seed: int) -> Column:
     """Each shard's draw for the key with its number, in shard order; weight 0: never drawn first."""
     w = F.array(*(F.lit(float(x)) for x in weights))
+    name = F.coalesce(key.cast("string"), F.lit(""))
 
     def draw(weight: Column, shard: Column) -> Column:
-        h = F.shiftrightunsigned(F.xxhash64(F.lit(seed), key, shard.cast("int")), 11)
-        u = (h.cast("double") + 0.5) / float(1 << 53)
+        u = (_number(F.concat_ws(":", F.lit(str(seed)), name, shard.cast("string")), 12) + 0.5) / float(1 << 48)
         return F.struct(F.when(weight > 0, -F.log(u) / weight).otherwise(F.lit(float("inf"))).alias("draw"),
                         shard.cast("int").alias("shard"))
 
@@ -54,7 +59,8 @@ def assign(docs: DataFrame, weights: list[float], new_weight: float = 1.0, id_co
     rows = materialise(drawn.select(
         "doc_id", "size", "text_crc32", F.array_min(F.slice("draws", 1, count))["shard"].alias("shard"),
         F.array_min("draws")["shard"].alias("grown_shard"),
-        spread("doc_id", "text_crc32", buckets=parts, seed=seed + 1).alias("part")), "shards")
+        (_number(F.concat_ws(":", F.lit("part"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")),
+                             F.col("text_crc32").cast("string")), 8) % parts).cast("int").alias("part")), "shards")
     # at most shards x parts rows, whatever the input
     sizes = rows.groupBy("shard", "part").agg(F.count("*").alias("n"))
     before = Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)

@@ -2,6 +2,7 @@
 
 import array
 import hashlib
+import math
 import pathlib
 import re
 import zlib
@@ -59,6 +60,28 @@ def test_exact_groups(spark, docs, empty):
     assert exact.exact_groups(empty).count() == 0 and exact.drop_repeats(empty).count() == 0
 
 
+def test_groups_come_through_the_perfect_hash(spark, docs):
+    """With a lookup that finds nothing, or whose slots are wrong, members of history are lost to it."""
+    want = Counter(map(tuple, exact.exact_groups(docs, boundary=5).collect()))
+    for slots_of in (lambda mph, digests: np.full(len(digests), -1), lambda mph, digests: (mph.slots(digests) + 1) % 3):
+        got = exact.exact_groups(docs, boundary=5, lookup=lambda index, probe: exact.look_up(index, probe, slots_of))
+        assert Counter(map(tuple, got.collect())) != want
+    # a slot's number holds the rows of both sides, its winner is history's
+    digest = [bytes([i]) * 32 for i in range(6)]
+    old = spark.createDataFrame([(0, digest[i], 10 + i, 2) for i in range(4)], "shard int, digest binary, first long, n long")
+    new = spark.createDataFrame([(0, digest[i], 90 + i, 5) for i in (1, 3, 5)], old.schema)
+    rows = {bytes(r.digest): tuple(r)[1:] for r in exact.look_up(exact.build_index(old), new).collect()}
+    assert rows == {digest[0]: (10, 2, True), digest[1]: (11, 7, True), digest[2]: (12, 2, True),
+                    digest[3]: (13, 7, True), digest[5]: (95, 5, False)}
+
+
+def test_the_same_repeat_stays_on_every_run(spark):
+    rows = [(1, "a  b", s) for s in "xyz"] + [(1, "a b", "w"), (2, "a b", "v")]
+    seen = {tuple(exact.drop_repeats(spark.createDataFrame(p, "doc_id long, text string, source string")
+                                     .repartition(n)).collect()) for p, n in ((rows, 1), (rows[::-1], 3), (rows, 4))}
+    assert len(seen) == 1
+
+
 def test_perfect_hash_is_minimal_and_bytes_decide():
     rng = np.random.default_rng(1)
     keys = rng.integers(0, 256, (5000, 32), dtype=np.uint8)
@@ -270,6 +293,13 @@ def test_rendezvous_sharding(spark, docs, empty):
         slots[r.shard].append(r.slot)
         assert r.law == "key" and r.grown_shard in (r.shard, 40)
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    def draw(key, shard):
+        name = f"9:{'' if key is None else key}:{shard}"
+        return -math.log((int(hashlib.md5(name.encode()).hexdigest()[:12], 16) + 0.5) / 2 ** 48), shard
+
+    for r in got:  # one by one, by the definition
+        assert r.shard == min(draw(r.doc_id, s) for s in range(40))[1]
+        assert r.grown_shard == min(draw(r.doc_id, s) for s in range(41))[1]
     many = spark.range(20000)
     share = many.groupBy(sharding.shard_of(F.col("id"), [1.0, 3.0, 0.0]).alias("s")).count().collect()
     by = {r.s: r["count"] for r in share}
@@ -329,3 +359,49 @@ def test_token_rollups(spark, docs, empty, scratch):
     # a batch that failed half-way is written again
     (pathlib.Path(scratch) / "book/batches/b5").mkdir(parents=True)
     assert book.commit("b5", rollups.inserts(counts.limit(1)))
+
+
+def test_language_id_by_a_plain_loop_of_compressions(spark, docs):
+    """Every text of the driver's table and the odd ones, compressed one by one with the library alone."""
+    import zstandard as z
+
+    table = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    model = langid.fit(table.filter(~langid.held_out()))
+    assert len(model) > 1 and all(len(d) <= 161 * 1025 for d in model.values())
+    both = table.select("doc_id", "text").union(docs.select("doc_id", "text"))
+
+    def size(raw, content):
+        params = z.ZstdCompressionParameters.from_level(
+            6, write_content_size=0, write_checksum=0, write_dict_id=0, format=z.FORMAT_ZSTD1_MAGICLESS)
+        kept = z.ZstdCompressionDict(content, dict_type=z.DICT_TYPE_RAWCONTENT)
+        kept.precompute_compress(compression_params=params)
+        return sum(len(z.ZstdCompressor(compression_params=params, dict_data=kept).compress(raw[i:i + 2048]))
+                   for i in range(0, len(raw), 2048))
+
+    want = []
+    for r in both.collect():
+        raw = re.sub(r"[\W\d_]+", " ", (r.text or "").lower()).encode()
+        if not any(c.isalpha() for c in r.text or ""):
+            want.append((r.doc_id, "und", 0.0, True))
+            continue
+        if len(raw) < 96:
+            raw = (raw.strip() + b" ") * -(-96 // (len(raw) + 1))
+        sizes = sorted((size(raw, content), lang) for lang, content in model.items())
+        share = 1 - sizes[0][0] / sizes[1][0]
+        want.append((r.doc_id, sizes[0][1], round(share, 9), share < 0.005))
+    got = [(r.doc_id, r.lang_pred, round(r.score, 9), r.rejected) for r in langid.identify(both, model).collect()]
+    same = [a == b for a, b in zip(sorted(got, key=str), sorted(want, key=str))]
+    assert len(got) == len(want) and all(same)
+
+
+def test_labels_without_bound(spark):
+    """Ever more labels get smaller dictionaries, none is left out; samples come from all over a text."""
+    head = "license header of every text " * 60
+    rows = [(i, head + f"wort{i % 700} eigen{i % 700} " * 40, f"l{i % 700:03d}", "s") for i in range(2100)]
+    corpus = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    model = langid.fit(corpus, max_bytes=700 * 1024)
+    assert len(model) == 700 and max(map(len, model.values())) <= 1024
+    assert sum(b"eigen" in content for content in model.values()) > 100
+    # a label whose texts begin without a letter is learned all the same
+    odd = spark.createDataFrame([(i, "1" * 5000 + " ja nein vielleicht", "de", "s") for i in range(3)], corpus.schema)
+    assert b"vielleicht" in langid.fit(odd)["de"]

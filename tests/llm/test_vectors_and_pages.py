@@ -5,6 +5,7 @@ import hashlib
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from shopflow.llm import embeddings, warc
 from tests.conftest import SF_CHECK
@@ -51,36 +52,40 @@ def test_near_vectors_equal_brute_force(spark):
     assert embeddings.near_vectors(df.limit(0)).count() == 0
 
 
-def test_recall_on_the_driver_table(spark):
-    table = spark.read.parquet(f"{SF_CHECK.replace('sf0.01', 'sf0.1')}/embeddings.parquet")
-    rows = table.collect()
-    x = np.array([r.embedding for r in rows], float)
-    x /= np.linalg.norm(x, axis=1)[:, None]
-    label = np.array([r.label for r in rows])
-    pairs = int(((x @ x.T >= 0.98) & (label[:, None] == label)).sum()) - len(rows)
-    found = embeddings.near_vectors(table).agg({"n_links": "sum"}).first()[0]
-    assert 0.9 * pairs <= found <= pairs
-
-
-def planted(mean_share, n, seed):
-    """Vectors of 64 dimensions with this share of a common mean, and for each one at cosine 0.98 to 0.985."""
+def planted(mean_share, n, seed, d=64):
+    """Vectors of d dimensions with this share of a common mean, and for each one at cosine 0.98 to 0.985."""
     rng = np.random.default_rng(seed)
-    mean = np.eye(64)[0] * np.sqrt(mean_share)
-    u = embeddings.unit(mean + embeddings.unit(rng.normal(size=(n, 64))) * np.sqrt(1 - mean_share))
+    mean = np.eye(d)[0] * np.sqrt(mean_share)
+    u = embeddings.unit(mean + embeddings.unit(rng.normal(size=(n, d))) * np.sqrt(1 - mean_share))
     off = rng.normal(size=u.shape)
     off = embeddings.unit(off - (off * u).sum(axis=1, keepdims=True) * u)
     cosine = rng.uniform(0.9801, 0.985, (n, 1))
     return u, cosine * u + np.sqrt(1 - cosine ** 2) * off
 
 
-def test_recall_in_64_dimensions(spark):
-    for mean_share in (0.0, 0.9):
-        x = np.concatenate(planted(mean_share, 2000, 12))
-        df = spark.createDataFrame([(i, v, 0) for i, v in enumerate(x.tolist())],
-                                   "vec_id long, embedding array<double>, label int")
-        want = ((x[::50] @ x.T >= 0.98).sum(axis=1) - 1).sum()
-        found = embeddings.near_vectors(df).filter("vec_id % 50 = 0").agg({"n_links": "sum"}).first()[0]
-        assert want >= 80 and 0.9 * want <= found <= want
+@pytest.mark.parametrize("mean_share", [0.0, 0.9])
+@pytest.mark.parametrize("d", [64, 256])
+def test_recall_through_the_tables(spark, monkeypatch, mean_share, d):
+    """Ids divisible by 50 against all rows, end to end; every table asks that chunks agree."""
+    chosen, scheme = [], embeddings.scheme
+    monkeypatch.setattr(embeddings, "scheme", lambda *a: chosen.append(scheme(*a)) or chosen[-1])
+    x = np.concatenate(planted(mean_share, 2000, 12, d))
+    df = spark.createDataFrame([(i, v, 0) for i, v in enumerate(x.tolist())],
+                               "vec_id long, embedding array<double>, label int")
+    want = ((x[::50] @ x.T >= 0.98).sum(axis=1) - 1).sum()
+    found = embeddings.near_vectors(df).filter("vec_id % 50 = 0").agg({"n_links": "sum"}).first()[0]
+    assert want >= 80 and 0.9 * want <= found <= want
+    assert [agree > 0 for _, agree in chosen] == [True]
+
+
+def test_every_length_has_tables():
+    """Also without a sample, in few dimensions and for small tables: no scheme compares all pairs."""
+    q = embeddings.Quantiser({})
+    for d in (1, 2, 3, 8, 24, 64, 300):
+        u = embeddings.unit(np.random.default_rng(d).normal(size=(1024, d)))
+        for rows in (2, 1000, 10 ** 9):
+            chunks, agree = embeddings.scheme(u, q, 0.98, rows, float(rows) ** 2)
+            assert 1 <= agree <= chunks <= min(64, d)
 
 
 def test_scheme_keeps_recall_on_large_tables():
