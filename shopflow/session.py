@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import uuid
 
 from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
@@ -81,6 +82,19 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     return fallback
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder below the shared one for tables that only this run reads.
+
+    All of a run's such folders lie in one, which is removed when the driver's JVM ends.
+    """
+    run = f"{checkpoint_dir(spark).rstrip('/')}/runs/{spark.sparkContext.applicationId}"
+    at = spark._jvm.org.apache.hadoop.fs.Path(run)
+    store = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    store.mkdirs(at)
+    store.deleteOnExit(at)
+    return f"{run}/{name}-{uuid.uuid4().hex}"
+
+
 def stream_checkpoint(spark: SparkSession, name: str, base: str | None = None) -> str:
     """Per-query streaming checkpoint location below the shared folder."""
     root = base or checkpoint_dir(spark)

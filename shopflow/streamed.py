@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from shopflow import fixtures as fx
 from shopflow.plans.bronze import normalise_ts, parse
 from shopflow.schemas import BRONZE
-from shopflow.session import checkpoint_dir
+from shopflow.session import scratch_path
 from shopflow.sources.catalog import create_bronze_tables, wire_schema_of
 from shopflow.sources.keyindex import lookup_clustered, write_clustered
 from shopflow.sources.replay import read_messages, write_messages
@@ -25,10 +25,6 @@ from shopflow.streaming.reconcile import watch_missing
 from shopflow.streaming.sinks import read_current, read_updates
 
 
-def _place(spark: SparkSession, name: str) -> str:
-    return f"{checkpoint_dir(spark).rstrip('/')}/replays/{name}-{uuid.uuid4().hex}"
-
-
 def _replay(spark: SparkSession, sf_dir: str, table: str, at: str, files_per_batch: int | None = None) -> DataFrame:
     write_messages(fx.wire(spark, sf_dir, table), f"{at}/messages")
     return read_messages(spark, f"{at}/messages", files_per_batch)
@@ -36,7 +32,7 @@ def _replay(spark: SparkSession, sf_dir: str, table: str, at: str, files_per_bat
 
 def live_recent_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 15-minute monitor's view at the time of the newest click."""
-    at = _place(spark, "live")
+    at = scratch_path(spark, "live")
     rows = normalise_ts(parse(_replay(spark, sf_dir, "shoe_clickstream", at, 2), "shoe_clickstream"), "shoe_clickstream", "UTC")
     clicks = rows.withColumn("arrive_dt", F.col("ts")).select(*BRONZE["shoe_clickstream"].fieldNames())
     watch_recent_clicks(clicks, fx.shoes(spark, sf_dir), f"{at}/view", f"{at}/checkpoint",
@@ -47,7 +43,7 @@ def live_recent_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def missing_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders that came on the stream and are not in the stored copy."""
-    at = _place(spark, "missing")
+    at = scratch_path(spark, "missing")
     rows = parse(_replay(spark, sf_dir, "shoe_orders", at, 2), "shoe_orders")
     watch_missing(rows, lambda s: fx.stored_orders(s, sf_dir), "order_id", f"{at}/open", f"{at}/checkpoint",
                   trigger="availableNow").awaitTermination()
@@ -56,7 +52,7 @@ def missing_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def orders_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each order by its first message, appended once."""
-    at = _place(spark, "once")
+    at = scratch_path(spark, "once")
     rows = normalise_ts(parse(_replay(spark, sf_dir, "shoe_orders", at), "shoe_orders"), "shoe_orders").drop("_sent")
     write_once(rows, "order_id", f"{at}/orders", f"{at}/checkpoint", ["ts"]).awaitTermination()
     return read_once(spark, f"{at}/orders")
@@ -64,7 +60,7 @@ def orders_once(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def complete_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """The DDL's table filled by a complete-mode stream that parses with the table's own schema; without its arrival stamp."""
-    at = _place(spark, "complete")
+    at = scratch_path(spark, "complete")
     database = f"shopflow_{uuid.uuid4().hex[:12]}"
     spark.sql(f"CREATE DATABASE {database} LOCATION '{at}/database'")
     create_bronze_tables(spark, database)
@@ -76,7 +72,7 @@ def complete_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 def updated_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze clicks by an update-mode stream, without the arrival stamp."""
-    at = _place(spark, "update")
+    at = scratch_path(spark, "update")
     ingest(spark, _replay(spark, sf_dir, "shoe_clickstream", at, 2), "shoe_clickstream", f"{at}/clicks",
            checkpoint=f"{at}/checkpoint", mode="update").awaitTermination()
     return read_updates(spark, f"{at}/clicks").drop("arrive_dt")
@@ -84,7 +80,7 @@ def updated_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def appended_shoes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze shoes by an append-mode stream, without the arrival stamp."""
-    at = _place(spark, "append")
+    at = scratch_path(spark, "append")
     ingest(spark, _replay(spark, sf_dir, "shoes", at), "shoes", f"{at}/shoes", checkpoint=f"{at}/checkpoint",
            mode="append").awaitTermination()
     return spark.read.parquet(f"{at}/shoes").drop("arrive_dt")
@@ -92,6 +88,6 @@ def appended_shoes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def clustered_lookup(spark: SparkSession, sf_dir: str, order_id: int, files: int = 16) -> DataFrame:
     """One order from a table of orders clustered by id."""
-    at = _place(spark, "clustered")
+    at = scratch_path(spark, "clustered")
     write_clustered(fx.orders(spark, sf_dir), at, "order_id", files)
     return lookup_clustered(spark, at, "order_id", order_id)

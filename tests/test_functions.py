@@ -122,3 +122,26 @@ def test_elapsed_fixed_units_match_timestampdiff_in_utc(spark):
         assert bad == 0, unit
     got = df.select(epoch_micros("a").alias("m")).collect()[-1].m
     assert got == -500000
+
+
+def test_scratch_folders_go_with_the_driver():
+    """A run's tables lie below the shared folder while it lasts, and are gone when its JVM has ended."""
+    import os
+    import subprocess
+    import sys
+    import tempfile
+
+    shared = tempfile.mkdtemp(prefix="shopflow-test-", dir="/tmp")
+    code = f"""
+from shopflow.session import checkpoint_dir, get_session, scratch_path
+import os
+spark = get_session(master="local[1]")
+checkpoint_dir(spark, fallback={shared!r})
+path = scratch_path(spark, "x")
+spark.range(3).write.parquet(path)
+assert os.path.isdir(path) and path.startswith({shared!r}[:5]), path
+spark.stop()
+"""
+    subprocess.run([sys.executable, "-c", code], check=True, timeout=120, cwd=os.path.dirname(os.path.dirname(__file__)))
+    left = [f for _, _, files in os.walk(shared) for f in files if f.endswith(".parquet")]
+    assert left == []
