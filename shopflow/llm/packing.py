@@ -38,6 +38,27 @@ def counted(ids: np.ndarray) -> Counted:
     return ids[at[:-1]], np.diff(at)
 
 
+def counted_all(ids: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``counted`` of documents that lie one after the other, by one sort: terms, counts, and where each document's begin."""
+    n = len(sizes)
+    wide, shift = (np.uint32, 16) if ids.itemsize == 2 and n <= 1 << 16 else (np.uint64, 32)
+    keys = np.repeat(np.arange(n, dtype=wide) << wide(shift), sizes) | ids.astype(wide)
+    keys.sort()
+    at = np.flatnonzero(np.concatenate([[len(keys) > 0], keys[1:] != keys[:-1], [len(keys) > 0]]))
+    keys = keys[at[:-1]]
+    edges = np.concatenate([[0], np.cumsum(np.bincount((keys >> wide(shift)).astype(np.int64), minlength=n))])
+    return (keys & wide((1 << shift) - 1)).astype(np.uint32), np.diff(at), edges
+
+
+def counted_each(docs: list[np.ndarray | Counted]) -> list[Counted]:
+    """(terms, counts) of each document, which is its ids or has them already."""
+    raw = [d for d in docs if not isinstance(d, tuple)]
+    terms, tf, edges = counted_all(np.concatenate(raw) if raw else np.zeros(0, np.uint16),
+                                   np.array([len(d) for d in raw], np.int64))
+    own = iter([(terms[a:b], tf[a:b]) for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())])
+    return [d if isinstance(d, tuple) else next(own) for d in docs]
+
+
 class Corpus(NamedTuple):
     """Mean length of all documents, and each term's number of documents and idf."""
 
@@ -93,7 +114,7 @@ class Bm25Index:
 
     def __init__(self, docs: list[np.ndarray | Counted], corpus: Corpus | None = None):
         self.n = n = len(docs)
-        pairs = [d if isinstance(d, tuple) else counted(d) for d in docs]
+        pairs = counted_each(docs)
         sizes = np.array([tf.sum() for _, tf in pairs], np.int64)
         term = np.concatenate([t for t, _ in pairs]) if n else np.zeros(0, np.uint16)
         tf = np.concatenate([k for _, k in pairs]) if n else np.zeros(0, np.int64)
@@ -198,16 +219,17 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabu
         for batch in batches:
             for first, ids, offsets in model.encode(batch.column("text")):
                 out: list[tuple] = []
-                held: list[np.ndarray] = []
                 doc_ids = batch.column("doc_id").slice(first, len(offsets) - 1).to_pylist()
                 ids = np.insert(ids, offsets[1:], end_id)
                 edges = (offsets + np.arange(len(offsets))).tolist()
                 runs = run_hashes(ids)
-                for doc_id, a, b in zip(doc_ids, edges[:-1], edges[1:]):
+                all_terms, all_tf, at = counted_all(ids, np.diff(edges))
+                at = at.tolist()
+                df += np.bincount(all_terms, minlength=len(df))
+                for k, (doc_id, a, b) in enumerate(zip(doc_ids, edges[:-1], edges[1:])):
                     own = ids[a:b]
                     full = len(own) // window * window
-                    terms, tf = counted(own)
-                    held.append(terms)
+                    terms, tf = all_terms[at[k]:at[k + 1]], all_tf[at[k]:at[k + 1]]
                     crcs = [ids_crc32(own[s:s + window]) for s in range(0, full, window)]
                     out.append((row, doc_id, len(own), crcs,
                                 own[full:].tobytes(),
@@ -216,7 +238,6 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabu
                                 run_keys(runs[a:max(a, b - RUN + 1)]), None, None))
                     row += 1
                 if out:
-                    df += np.bincount(np.concatenate(held), minlength=len(df))
                     yield batch_of(out)
         seen = np.flatnonzero(df)
         yield batch_of([(*[None] * 8, t, k) for t, k in zip(seen.tolist(), df[seen].tolist())])
@@ -241,15 +262,15 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabu
     width = "<u4" if encoder(vocabulary).dtype.itemsize > 2 else "<u2"
     shards = max(1, -(-n // rows_per_shard))
 
-    def terms_of(ids: bytes, terms: bytes | None, tf: bytes | None) -> Counted:
+    def terms_of(ids: bytes, terms: bytes | None, tf: bytes | None) -> np.ndarray | Counted:
         if terms is None:
-            return counted(np.frombuffer(ids, width))
+            return np.frombuffer(ids, width)
         return np.frombuffer(terms, "<u4"), np.frombuffer(tf, "<u4").astype(np.int64)
 
     def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes = batch.column("doc_tokens").to_numpy()
-            pairs = [terms_of(*d) for d in zip(*(batch.column(c).to_pylist() for c in ("ids", "terms", "tf")))]
+            pairs = counted_each([terms_of(*d) for d in zip(*(batch.column(c).to_pylist() for c in ("ids", "terms", "tf")))])
             term = np.concatenate([t for t, _ in pairs]) if pairs else np.zeros(0, np.int64)
             weight = corpus.weight(term, np.concatenate([k for _, k in pairs]) if pairs else term,
                                    np.repeat(sizes, [len(t) for t, _ in pairs]))
@@ -267,14 +288,16 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabu
         keyed = materialise(whole.select("row", "ids", "terms", "tf", "doc_tokens", "keys").mapInArrow(
             key, "row long, by_term array<long>, by_run array<long>"), "packing-keys")
         keyed = keyed.select("row", F.explode(F.concat("by_run", "by_term")).alias("key"))
-        often = keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+        # written first, so that Spark can split the hot side of their joins
+        often = materialise(keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "packing-often")
         # the commonest run that fits a part, else the commonest terms that do, else the rarest key of all
         fits = F.col("n") <= part
         rank = F.struct(fits.alias("fits"), F.when(fits, F.col("key").bitwiseAND(F.lit(1))).alias("run"),
                         F.when(fits, F.col("n")).otherwise(-F.col("n")).alias("often"), "key")
         chosen = materialise(keyed.join(often, "key").groupBy("row").agg(F.max(rank)["key"].alias("key")),
                              "packing-groups")
-        parts = chosen.groupBy("key").agg(F.ceil(F.count("*") / part).cast("int").alias("parts"))
+        parts = materialise(chosen.groupBy("key").agg(F.ceil(F.count("*") / part).cast("int").alias("parts")),
+                            "packing-parts")
         salted = chosen.join(parts, "key").select(
             "row", spread("key", F.pmod(F.xxhash64("row"), F.col("parts")), buckets=shards, seed=6).alias("shard"))
         dealt = whole.drop("keys").join(salted, "row", "left").withColumn(

@@ -405,3 +405,14 @@ def test_labels_without_bound(spark):
     # a label whose texts begin without a letter is learned all the same
     odd = spark.createDataFrame([(i, "1" * 5000 + " ja nein vielleicht", "de", "s") for i in range(3)], corpus.schema)
     assert b"vielleicht" in langid.fit(odd)["de"]
+
+
+def test_terms_of_many_documents_by_one_sort():
+    rng = np.random.default_rng(2)
+    for dtype, top in (("<u2", 65536), ("<u4", 1 << 20), ("i8", 1 << 20)):
+        docs = [rng.integers(0, top, n).astype(dtype) % 50 + (top - 50) for n in (0, 1, 700, 0, 30, 1)]
+        ready = packing.counted(np.array([3, 3, 4]))
+        for own, (terms, tf) in zip([*docs, ready], packing.counted_each([*docs, ready])):
+            want = own if isinstance(own, tuple) else (packing.counted(own) if len(own) else ([], []))
+            assert terms.tolist() == list(want[0]) and tf.tolist() == list(want[1])
+    assert packing.counted_each([]) == []
