@@ -2,22 +2,19 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from shopflow.session import checkpoint_dir
+from shopflow.session import scratch_path
 
 #: ASCII white space of the text contracts, as a Java character class
 SPACES = r"[\x20\x09-\x0D]+"
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder below ``spark.checkpoint.dir``, which all executors see."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{(configured or checkpoint_dir(spark)).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
+    """A fresh folder below ``spark.checkpoint.dir``, which all executors see; it goes with the run."""
+    return scratch_path(spark, f"llm-{name}")
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
