@@ -11,13 +11,12 @@ from __future__ import annotations
 
 import datetime as _dt
 import os
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopflow.functions.times import epoch_micros, ntz_literal, truncate_to_second
-from shopflow.session import checkpoint_dir
+from shopflow.session import scratch_path
 
 #: fixed values of the mapping: products per user and between users, and the values of
 #: ``props.k`` that stand for an unknown product, a NULL product and a NULL user
@@ -84,7 +83,7 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stored_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stored table of the orders up to ``STORED_UNTIL`` (written, then read back)."""
-    path = os.path.join(checkpoint_dir(spark), "fixtures", uuid.uuid4().hex)
+    path = scratch_path(spark, "stored")
     held = orders(spark, sf_dir).filter(F.col("arrive_dt") < ntz_literal(STORED_UNTIL))
     held.write.parquet(path)
     return spark.read.parquet(path)
