@@ -50,6 +50,8 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_
     last = labelled.sparkSession.createDataFrame(
         [(lang, min((1 << 64) * (2 * texts + 32) // n, (1 << 64) - 1) - (1 << 63)) for lang, n in sorted(counts.items())],
         "lang string, last long")
+    if sum(len(lang.encode()) + 16 for lang in counts) <= 8 << 20:  # beyond, joined by shuffle
+        last = F.broadcast(last)
     spread_out = F.regexp_replace("text", r"[^\p{L}]+", " ")
     place = F.pmod(F.xxhash64("h", F.lit(2)), F.greatest(F.char_length("spelt") - bytes_per_text, F.lit(0)) + 1)
     sample = rows.join(last, "lang").filter(F.col("h") <= F.col("last")).withColumn("spelt", spread_out).select(
