@@ -19,7 +19,11 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Learn from the labelled documents outside the held-out fold; rejected documents go."""
+    """Learn from the labelled documents outside the held-out fold; rejected documents go.
+
+    Null texts and texts without a letter are rejected, as is every text where no document has a label.  Repeated
+    rows are judged alike.  Columns stay as they are; an empty table gives an empty one.
+    """
     import_in_workers(spark)
     prefix = free_name(docs, "__language_")
     judged = langid.identify(docs, langid.fit(docs.filter(~langid.held_out())), prefix=prefix)
@@ -27,26 +31,35 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the smallest doc_id stays."""
+    """Of equal texts the smallest doc_id stays; a null id only where the group has no other.
+
+    Null text is empty text.  Of rows that repeat id and text, the one with the smallest hash of all columns stays.
+    """
     import_in_workers(spark)
     return exact.drop_repeats(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the smallest doc_id stays."""
+    """Of each group of near copies the smallest doc_id stays; a null id only where the group has no other.
+
+    Texts without a word, null ones too, have fingerprint zero and are one group; repeated rows leave one.
+    """
     import_in_workers(spark)
     return simhash.drop_near_duplicates(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources to the power 0.7 of their sizes; a document comes as often as it is drawn."""
+    """Sources to the power 0.7 of their sizes; a document comes as often as it is drawn, perhaps never.
+
+    Null is a source of its own; rows with one id, null too, draw the same number.
+    """
     import_in_workers(spark)
     replica = free_name(docs, "__replica")
     return mixing.mix(docs, replica=replica).drop(replica)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of at most 4096 ids."""
+    """Sequences of at most 4096 ids; null and empty texts are the end id alone, repeated rows are packed each."""
     import_in_workers(spark)
     return packing.pack(docs)
 

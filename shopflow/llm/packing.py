@@ -290,11 +290,14 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabu
         keyed = keyed.select("row", F.explode(F.concat("by_run", "by_term")).alias("key"))
         # written first, so that Spark can split the hot side of their joins
         often = materialise(keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "packing-often")
-        # the commonest run that fits a part, else the commonest terms that do, else the rarest key of all
-        fits = F.col("n") <= part
-        rank = F.struct(fits.alias("fits"), F.when(fits, F.col("key").bitwiseAND(F.lit(1))).alias("run"),
-                        F.when(fits, F.col("n")).otherwise(-F.col("n")).alias("often"), "key")
-        chosen = materialise(keyed.join(often, "key").groupBy("row").agg(F.max(rank)["key"].alias("key")),
+        # the commonest run that fits a part, else the commonest terms that do, else the rarest key of all; as one
+        # number (fits, run, how often, a hash of the key for ties), which a hash aggregate can hold
+        most = (1 << 30) - 1
+        often_bits = F.least(F.col("n"), F.lit(most))
+        rank = F.when(F.col("n") <= part, (1 << 62) + F.shiftleft(F.col("key").bitwiseAND(F.lit(1)), 61)
+                      + F.shiftleft(often_bits, 31)).otherwise(F.shiftleft(most - often_bits, 31))
+        rank = rank + F.xxhash64("key").bitwiseAND(F.lit((1 << 31) - 1))
+        chosen = materialise(keyed.join(often, "key").groupBy("row").agg(F.max_by("key", rank).alias("key")),
                              "packing-groups")
         parts = materialise(chosen.groupBy("key").agg(F.ceil(F.count("*") / part).cast("int").alias("parts")),
                             "packing-parts")

@@ -52,3 +52,22 @@ def test_pipeline_equals_brute_force(spark):
     for p in pieces:
         lengths[p.sequence_id] += p.length
     assert all(x <= 4096 and (x == 4096 or x.bit_count() == 1) for x in lengths.values())
+
+
+def test_stages_on_odd_rows(spark, docs, empty):
+    """Nulls, blank, long and repeated texts, clashing names: each stage keeps the columns and loses nothing it should not."""
+    for table in (docs, empty):
+        rows = table
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(spark, rows, "")
+            assert out.columns == table.columns, name
+            kept, came = Counter(map(str, out.collect())), Counter(map(str, rows.collect()))
+            assert set(kept) <= set(came), name
+            if name != "mixing sources to target weights":
+                assert all(kept[r] <= came[r] for r in kept), name
+            if table is docs:
+                assert kept or name == "mixing sources to target weights", name
+        packed = corpus_pipeline.STAGES[-1][1](spark, table, "").collect()
+        whole = Counter((r.doc_id, r.doc_tokens) for r in packed if r.start == 0)
+        assert sum(whole.values()) == table.count()
+        assert sum(r.length for r in packed) == sum(t * n for (_, t), n in whole.items())
