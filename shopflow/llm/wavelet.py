@@ -4,7 +4,9 @@ A file holds the ids of consecutive documents as bit planes, most significant
 bit first; each plane orders the ids stably by the bit of the plane above.  With
 the running number of ones (rank), the matrix gives single tokens, counts of a
 token in a range and the positions of its occurrences without decoding the rest.
-Planes and the document table are zstandard sections of one file.
+The document table, the rank directory of each plane and the planes, cut into frames
+of 64 KB, are independent zstandard sections of one file: one access unpacks the directories and one
+frame of each plane.
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ from shopflow.llm.tokens import encoder, ids_crc32, vocabulary_path
 
 MAGIC = b"WAVEMTX1"
 _BLOCK = 512  # bits between two stored ranks
+_FRAME = 1 << 16  # bytes of a plane in one zstandard frame
 
 
 def _planes(ids: np.ndarray, bits: int) -> list[np.ndarray]:
@@ -35,6 +38,13 @@ def _planes(ids: np.ndarray, bits: int) -> list[np.ndarray]:
     return planes
 
 
+def _ranks(plane: np.ndarray) -> np.ndarray:
+    """Ones before each block of a plane, and in all."""
+    ones = np.bitwise_count(plane).astype("<i8")
+    per = np.add.reduceat(ones, np.arange(0, len(ones), _BLOCK // 8)) if len(ones) else np.zeros(1, "<i8")
+    return np.concatenate([np.zeros(1, "<i8"), np.cumsum(per)])
+
+
 def dump(doc_ids: list[int | None], lengths: list[int], ids: np.ndarray, level: int = 3) -> bytes:
     """The file of one shard; ``ids`` are the documents' ids one after another."""
     import zstandard
@@ -42,8 +52,10 @@ def dump(doc_ids: list[int | None], lengths: list[int], ids: np.ndarray, level:
     bits = max(1, int(ids.max()).bit_length()) if len(ids) else 1
     pack = zstandard.ZstdCompressor(level=level).compress
     known = np.array([d is not None for d in doc_ids], np.uint8)
+    planes = _planes(ids, bits)
     sections = [known.tobytes(), np.array([d or 0 for d in doc_ids], "<i8").tobytes(),
-                np.array(lengths, "<i8").tobytes(), *(p.tobytes() for p in _planes(ids, bits))]
+                np.array(lengths, "<i8").tobytes(), *(_ranks(p).tobytes() for p in planes),
+                *(p[at:at + _FRAME].tobytes() for p in planes for at in range(0, len(p), _FRAME))]
     packed = [pack(s) for s in sections]
     head = json.dumps({"documents": len(doc_ids), "tokens": len(ids), "bits": bits,
                        "sections": [len(p) for p in packed]}).encode()
@@ -61,34 +73,49 @@ class WaveletShard:
         (size,) = struct.unpack_from("<I", data, 8)
         head = json.loads(data[12:12 + size])
         self.n_tokens, self.bits = head["tokens"], head["bits"]
-        unpack, at, parts = zstandard.ZstdDecompressor().decompress, 12 + size, []
-        for length in head["sections"]:
-            parts.append(unpack(data[at:at + length]))
-            at += length
-        known = np.frombuffer(parts[0], np.uint8)
-        self.doc_ids = [int(d) if k else None for d, k in zip(np.frombuffer(parts[1], "<i8"), known)]
-        self.lengths = np.frombuffer(parts[2], "<i8")
-        self._packed = [np.frombuffer(p, np.uint8) for p in parts[3:]]
-        self._ranks: list[np.ndarray | None] = [None] * self.bits
+        self._data, self._unpack = data, zstandard.ZstdDecompressor().decompress
+        self._starts = np.cumsum([12 + size, *head["sections"]])
+        self._frames = -(-(-(-self.n_tokens // 8)) // _FRAME)  # of one plane
+        self._open: dict[int, np.ndarray] = {}
+        known = np.frombuffer(self._section(0), np.uint8)
+        self.doc_ids = [int(d) if k else None for d, k in zip(np.frombuffer(self._section(1), "<i8"), known)]
+        self.lengths = np.frombuffer(self._section(2), "<i8")
+
+    def _section(self, i: int) -> bytes:
+        return self._unpack(self._data[self._starts[i]:self._starts[i + 1]])
+
+    def _held(self, i: int, dtype: str) -> np.ndarray:
+        """A section that queries come back to, unpacked once."""
+        if i not in self._open:
+            self._open[i] = np.frombuffer(self._section(i), dtype)
+        return self._open[i]
+
+    def _frame(self, k: int, byte: int) -> tuple[np.ndarray, int]:
+        """The frame of plane k that holds the byte, and the byte's place in it."""
+        return self._held(3 + self.bits + k * self._frames + byte // _FRAME, "u1"), byte % _FRAME
 
     def _plane(self, k: int) -> np.ndarray:
-        return np.unpackbits(self._packed[k], count=self.n_tokens, bitorder="little").view(bool)
+        first = 3 + self.bits + k * self._frames
+        packed = b"".join(self._section(i) for i in range(first, first + self._frames))
+        return np.unpackbits(np.frombuffer(packed, np.uint8), count=self.n_tokens, bitorder="little").view(bool)
 
     def _directory(self, k: int) -> np.ndarray:
-        """Ones before each block of a plane, and in all."""
-        if self._ranks[k] is None:
-            ones = np.bitwise_count(self._packed[k]).astype(np.int64)
-            starts = np.arange(0, max(1, len(ones)), _BLOCK // 8)
-            per = np.add.reduceat(ones, starts) if len(ones) else np.zeros(1, np.int64)
-            self._ranks[k] = np.concatenate([[0], np.cumsum(per)])
-        return self._ranks[k]
+        return self._held(3 + k, "<i8")
+
+    def _bit(self, k: int, i: int) -> int:
+        frame, byte = self._frame(k, i // 8)
+        return int(frame[byte]) >> i % 8 & 1
 
     def _ones(self, k: int, i: int) -> int:
         """Ones of plane k before position i."""
         block = i // _BLOCK
-        part = self._packed[k][block * (_BLOCK // 8):i // 8]
-        tail = int(self._packed[k][i // 8]) & ((1 << i % 8) - 1) if i % 8 else 0
-        return int(self._directory(k)[block]) + int(np.bitwise_count(part).sum()) + tail.bit_count()
+        before = int(self._directory(k)[block])
+        if i % _BLOCK == 0:
+            return before
+        frame, lo = self._frame(k, block * (_BLOCK // 8))  # a block lies in one frame
+        hi = lo + i % _BLOCK // 8
+        tail = int(frame[hi]) & ((1 << i % 8) - 1) if i % 8 else 0
+        return before + int(np.bitwise_count(frame[lo:hi]).sum()) + tail.bit_count()
 
     def _zeros_total(self, k: int) -> int:
         return self.n_tokens - int(self._directory(k)[-1])
@@ -100,7 +127,8 @@ class WaveletShard:
             ranks = np.minimum(np.arange(len(ranks)) * _BLOCK, self.n_tokens) - ranks
         block = int(np.searchsorted(ranks, j, "right")) - 1
         lo = block * _BLOCK
-        inside = np.unpackbits(self._packed[k][lo // 8:(lo + _BLOCK) // 8], bitorder="little")
+        frame, at = self._frame(k, lo // 8)
+        inside = np.unpackbits(frame[at:at + _BLOCK // 8], bitorder="little")
         return lo + int(np.flatnonzero(inside[:self.n_tokens - lo] == bit)[j - int(ranks[block])])
 
     def access(self, i: int) -> int:
@@ -109,7 +137,7 @@ class WaveletShard:
             raise IndexError(i)
         value = 0
         for k in range(self.bits):
-            bit = int(self._packed[k][i // 8]) >> i % 8 & 1
+            bit = self._bit(k, i)
             ones = self._ones(k, i)
             i = self._zeros_total(k) + ones if bit else i - ones
             value = value << 1 | bit
@@ -154,22 +182,32 @@ class WaveletShard:
         return ids
 
 
+def partitions_for(size: int, parallelism: int, bytes_per_partition: int = 128 << 20,
+                   least_bytes: int = 1 << 20) -> int:
+    """Range partitions for ``size`` bytes of text: 128 MB each, or smaller ones (not below 1 MB)
+    while there are fewer than ``parallelism``."""
+    return max(1, -(-size // bytes_per_partition), min(parallelism, -(-size // least_bytes)))
+
+
 def write_shards(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
-                 vocabulary: str | None = None, end_id: int = 1, rows_per_partition: int = 4096,
+                 vocabulary: str | None = None, end_id: int = 1, bytes_per_partition: int = 128 << 20,
                  tokens_per_shard: int = 4 << 20) -> DataFrame:
     """Encode every text and write one wavelet matrix file per shard, in id order.
 
-    Range partitions of the id, sorted, are cut into files of about
-    ``tokens_per_shard`` ids (a longer document has a file alone).  Null text is
-    empty (only the end id); null ids come first; rows with one id follow each other by text;
+    Range partitions of the id and the text's hash, as many as the texts' bytes ask for
+    (``partitions_for``), are sorted and cut into files of about ``tokens_per_shard`` ids (a
+    longer document has a file alone).  Null text is empty (only the end id); null ids come first; rows
+    with one id follow each other by the hash, so they lie in as many tasks as they need (equal rows in one);
     an empty table writes no file.  Other columns are ignored.  Returns the
     written manifest: shard (ascending in id order), path, documents, tokens.
     """
     vocabulary = vocabulary or vocabulary_path()
     spark = docs.sparkSession
     rows = docs.select(col(id_col).cast("long").alias("doc_id"), col(text_col).alias("text"))
-    parts = max(1, -(-rows.count() // rows_per_partition))
-    dealt = rows.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
+    size = rows.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 8)).first()[0] or 0
+    parts = partitions_for(size, int(spark.conf.get("spark.sql.shuffle.partitions")), bytes_per_partition)
+    order = [F.col("doc_id"), F.xxhash64("text"), F.col("text")]
+    dealt = rows.repartitionByRange(parts, *order[:2]).sortWithinPartitions(*order)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext

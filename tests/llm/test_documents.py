@@ -237,16 +237,40 @@ def test_copies_of_one_document_spread_over_shards(spark):
 
 def test_wavelet_files_round_trip(docs, empty):
     rows = texts(docs)
-    got = wavelet.token_files(docs, rows_per_partition=5, tokens_per_shard=300).orderBy("start").collect()
+    got = wavelet.token_files(docs, bytes_per_partition=200, tokens_per_shard=300).orderBy("start").collect()
     want = sorted(((d, t or "", ids + [1]) for (d, t), ids in zip(rows, reference_ids(rows))),
-                  key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+                  key=lambda r: (r[0] is not None, r[0] or 0))
     assert [r.doc_id for r in got] == [d for d, _, _ in want]
-    assert [r.start for r in got] == [sum(len(x[2]) for x in want[:i]) for i in range(len(want))]
+    assert [r.start for r in got] == [sum(x.n_tokens for x in got[:i]) for i in range(len(got))]
     assert Counter((r.doc_id, r.n_tokens, r.ids_crc32) for r in got) == Counter(
         (d, len(ids), crc(ids)) for d, _, ids in want)
     assert wavelet.token_files(empty).count() == 0
 
 
+def test_wavelet_partitions_follow_bytes():
+    size = 10 ** 9 * 4000  # 10^9 rows
+    assert wavelet.partitions_for(size, 200) == -(-size // (128 << 20))
+    assert wavelet.partitions_for(0, 200) == 1 and wavelet.partitions_for(5 << 20, 200) == 5
+    assert wavelet.partitions_for(1 << 30, 200) == 200
+
+
+def test_wavelet_rows_of_one_id_lie_in_several_files(spark):
+    df = spark.range(600).selectExpr("7 AS doc_id", "concat('text ', repeat('more ', 600), id) AS text")
+    made = wavelet.write_shards(df, wavelet.shared_path(spark, "wavelet"), bytes_per_partition=200_000).collect()
+    assert sum(r.documents for r in made) == 600 and len({r.shard >> 20 for r in made}) >= 4
+
+
+def test_wavelet_access_unpacks_one_frame_of_a_plane(monkeypatch):
+    monkeypatch.setattr(wavelet, "_FRAME", 64)
+    ids = np.random.default_rng(5).integers(0, 1 << 16, 9000).astype(np.uint16)
+    shard = wavelet.WaveletShard(wavelet.dump([1], [9000], ids))
+    assert shard.access(8999) == ids[8999] and len(shard._open) <= 2 * shard.bits
+    assert [shard.access(i) for i in range(0, 9000, 531)] == ids[::531].tolist()
+    token = int(ids[4321])
+    assert list(shard.occurrences(token)) == np.flatnonzero(ids == token).tolist()
+    assert shard.decode().tolist() == ids.tolist()
+
+
 @pytest.mark.parametrize("n", [0, 1, 63, 513, 3000])
 def test_wavelet_access_rank_select(n):
     ids = np.random.default_rng(n).choice([0, 1, 2, 5, 40000, 49407], n).astype(np.uint16)
