@@ -118,3 +118,31 @@ def global_previous(df: DataFrame, order: Sequence[str], value: str, out: str, p
     lagged = dealt.select("*", F.lag(value).over(inside).alias("_lag"), F.row_number().over(inside).alias("_place"))
     return lagged.join(carry, "_part", "left").select(
         *df.columns, F.when(F.col("_place") == 1, F.col("_carry")).otherwise(F.col("_lag")).alias(out))
+
+
+def totals_before(probes: DataFrame, events: DataFrame, keys: Sequence[str], time_col: str, values: Sequence[str],
+                  bucket_seconds: int = HOUR) -> DataFrame:
+    """``probes`` with each of ``values`` summed over the events of the same keys strictly before the probe's time.
+
+    Sums are integers; NULLs add nothing, and where no event is earlier the sum is 0.  A probe without a time gets
+    NULL.  NULL keys equal each other (filter them out to have SQL's rule).  No join: a bucket starts with a carry row
+    that holds the sums of the key's earlier buckets, so one key's rows lie in as many tasks as it has buckets.
+    """
+    keys, held = list(keys), [c for c in probes.columns if c not in keys]
+    rows = events.filter(F.col(time_col).isNotNull()).select(
+        *keys, F.col(time_col).alias("_t"), *[F.coalesce(F.col(v).cast("long"), F.lit(0)).alias(f"_sum_{v}") for v in values],
+        F.lit(1).alias("_row"))
+    asked = probes.select(*keys, F.col(time_col).alias("_t"), F.struct(*held).alias("_probe"), F.lit(0).alias("_row"))
+    rows = rows.unionByName(asked, allowMissingColumns=True).withColumn("_bucket", _bucket("_t", bucket_seconds))
+    totals = rows.groupBy(*keys, "_bucket").agg(*[F.sum(f"_sum_{v}").alias(f"_sum_{v}") for v in values])
+    earlier = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    carry = totals.select(*keys, "_bucket", F.lit(-1).alias("_row"),
+                          *[F.sum(f"_sum_{v}").over(earlier).alias(f"_sum_{v}") for v in values])
+    # the carry row (no time) comes first; a probe comes before the events of its time
+    running = Window.partitionBy(*keys, "_bucket").orderBy(F.col("_t").asc_nulls_first(), "_row").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    seen = rows.unionByName(carry, allowMissingColumns=True).select(
+        *keys, "_t", "_probe", *[F.coalesce(F.sum(f"_sum_{v}").over(running), F.lit(0)).alias(f"_sum_{v}") for v in values])
+    return seen.filter(F.col("_probe").isNotNull()).select(
+        *[F.col(c) if c in keys else F.col("_probe")[c].alias(c) for c in probes.columns],
+        *[F.when(F.col("_t").isNotNull(), F.col(f"_sum_{v}")).alias(v) for v in values])
