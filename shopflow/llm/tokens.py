@@ -59,31 +59,31 @@ class Encoder:
 
     def _learn(self, pieces: list[str]) -> dict[str, bytes]:
         """Ids of pieces that the cache lacks."""
-        found: dict[str, bytes] = {}
-        width, merge = "H" if self.dtype.itemsize == 2 else "I", self.model.model.tokenize
-        rest = []
+        merge, rest, plain, flat, ends = self.model.model.tokenize, [], [], [], [0]
         for p in pieces:
             if _LETTERS(p):  # one pre-token that the normaliser leaves as it is
-                spelt = p if p.isascii() else p.translate(self.spelling)
-                found[p] = array(width, [t.id for t in merge(spelt)]).tobytes()
+                plain.append(p)
+                flat += [t.id for t in merge(p if p.isascii() else p.translate(self.spelling))]
+                ends.append(len(flat))
             else:
                 rest.append(p)
-        for p, code in zip(rest, self.model.encode_batch_fast(rest, add_special_tokens=False)):
-            found[p] = array(width, code.ids).tobytes()
-        return found
+        for code in self.model.encode_batch_fast(rest, add_special_tokens=False):
+            flat += code.ids
+            ends.append(len(flat))
+        coded, width = np.array(flat, self.dtype).tobytes(), self.dtype.itemsize
+        return {p: coded[a * width:b * width] for p, a, b in zip(plain + rest, ends[:-1], ends[1:])}
 
     def _ids_of(self, pieces: list[str]) -> list[bytes]:
         young, old = self.young, self.old
-        missing = [p for p in pieces if p not in young and p not in old]
+        out = list(map(young.get, pieces))
+        gaps = [i for i, code in enumerate(out) if code is None]
+        missing = [p for p in (pieces[i] for i in gaps) if p not in old]
         new: dict[str, bytes] = {}
         for i in range(0, len(missing), 50_000):
             new.update(self._learn(missing[i:i + 50_000]))
-        out = []
-        for p in pieces:
-            code = young.get(p)
-            if code is None:
-                code = young[p] = new[p] if p in new else old[p]
-            out.append(code)
+        for i in gaps:
+            p = pieces[i]
+            out[i] = young[p] = new[p] if p in new else old[p]
         if len(young) > self.half:
             self.old, self.young = (young if len(young) <= 2 * self.half else {}), {}
         return out
@@ -94,9 +94,9 @@ class Encoder:
         cut = pc.replace_substring_regex(pc.utf8_lower(words), _CUTS, r" \1 ")
         pieces = pc.ascii_split_whitespace(pc.if_else(plain, cut, words))
         coded = pieces.flatten().dictionary_encode()
-        ids = self._ids_of(coded.dictionary.to_pylist())
+        ids = self._ids_of(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
         flat = np.frombuffer(b"".join(ids), self.dtype)
-        size = np.array([len(b) for b in ids], np.int64) // self.dtype.itemsize
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // self.dtype.itemsize
         out, ends = _gather(flat, size, coded.indices.to_numpy())
         starts = pieces.offsets.to_numpy().astype(np.int64) - pieces.offsets[0].as_py()
         return out, ends[starts]
