@@ -6,6 +6,8 @@ import os
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
@@ -13,6 +15,9 @@ from pyspark.sql import SparkSession
 #: results depend on it: month, quarter and year differences read the session zone
 FIXED_CONF = {"spark.sql.session.timeZone": "UTC"}
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 #: defaults; whatever is set on the cluster or the command line stays
 DEFAULT_CONF = {
     # runtime re-planning: coalesce small shuffle partitions, split skewed join
@@ -21,9 +26,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # streaming state (dedup / aggregation keys) lives off-heap and spills to disk
-    "spark.sql.streaming.stateStore.providerClass": (
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-    ),
+    STATE_STORE: ROCKSDB,
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -64,6 +67,21 @@ def import_in_workers(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [*paths, ROOT]))
 
 
+@contextmanager
+def rocksdb_state(spark: SparkSession) -> Iterator[None]:
+    """Streams started inside hold their state in RocksDB, also in a session that was built with another
+    store: a stream keeps the settings of its start, the session gets its own back."""
+    given = spark.conf.get(STATE_STORE, None)
+    spark.conf.set(STATE_STORE, ROCKSDB)
+    try:
+        yield
+    finally:
+        if given is None:
+            spark.conf.unset(STATE_STORE)
+        else:
+            spark.conf.set(STATE_STORE, given)
+
+
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """The shared folder for checkpoints and lineage-cutting tables.
 

@@ -17,7 +17,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from shopflow.functions.columns import prefixed_columns
 from shopflow.functions.times import REFERENCE_ZONE, AsOf, as_of_column, recency_columns
-from shopflow.session import import_in_workers
+from shopflow.session import import_in_workers, rocksdb_state
 from shopflow.sources import versions
 from shopflow.streaming.sinks import read_current, run_of, start_batches
 
@@ -106,7 +106,8 @@ def write_changes(changes: DataFrame, path: str, checkpoint: str, trigger: str |
         versions.replace_folder(n.select(*columns, F.explode(F.sequence(F.lit(1).cast("long"), "_n"))).drop("col"),
                                 path, fmt, note)
 
-    return start_batches(changes, "update", checkpoint, trigger, query_name, apply)
+    with rocksdb_state(changes.sparkSession):  # the only store that transformWithState runs on
+        return start_batches(changes, "update", checkpoint, trigger, query_name, apply)
 
 
 def watch_recent_clicks(clicks: DataFrame, shoes: DataFrame, path: str, checkpoint: str, minutes: int = 15,

@@ -76,6 +76,27 @@ def test_live_monitor_equals_the_batch_monitor_after_each_batch(spark, scratch):
     assert sizes[-1] <= 8, sizes  # 40 clicks later only the last ones and their timers are held
 
 
+@pytest.mark.parametrize("store", [None, "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"])
+def test_live_monitor_in_a_session_with_another_state_store(spark, scratch, store):
+    conf = "spark.sql.streaming.stateStore.providerClass"
+    plain = spark.newSession()
+    plain.conf.unset(conf)
+    if store:
+        plain.conf.set(conf, store)
+    before = plain.conf.get(conf)
+    rows = [dict(product_id=p, user_id="u", view_time=1, page_url="/", ip="", ts=T + m * 60_000)
+            for p, m in (("1", 0), ("1", 20), ("2", 30), ("9", 31))]
+    write_messages(messages(plain, rows), f"{scratch}/src")
+    stream = normalise_ts(parse(read_messages(plain, f"{scratch}/src"), "shoe_clickstream"), "shoe_clickstream", "UTC")
+    clicks = stream.withColumn("arrive_dt", F.col("ts")).select(*BRONZE["shoe_clickstream"].fieldNames())
+    shoes = h.shoes(plain, [("1", "A"), ("2", "B")])
+    for _ in range(2):  # a restart finds its state again
+        watch_recent_clicks(clicks, shoes, f"{scratch}/out", f"{scratch}/ckpt", trigger="availableNow").awaitTermination()
+        found = read_recent_clicks(plain, f"{scratch}/out").collect()
+        assert sorted((r.shoes_id, r.brand) for r in found) == [("1", "A"), ("2", "B")]
+        assert plain.conf.get(conf) == before
+
+
 # ---------------------------------------------------------------- reconciliation
 
 def test_missing_orders_after_each_batch(spark, scratch):
