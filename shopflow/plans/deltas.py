@@ -49,6 +49,12 @@ def _summed(rows: DataFrame, table: str) -> DataFrame:
     return out.filter(reduce(lambda a, b: a | b, (F.col(m) != 0 for m in measures)))
 
 
+def _meet(left: DataFrame, right: DataFrame, on: Column | str, how: str = "inner") -> DataFrame:
+    """A join that shuffles both sides.  A slice's bytes on disk, from which Spark would choose, are a fraction of its
+    rows in memory: sides that grow with the tables would go through the driver."""
+    return left.join(right.hint("merge"), on, how)
+
+
 def _times(rows: DataFrame, factor: Column, table: str) -> list[Column]:
     return [(F.col(m) * factor).alias(m) for m in _measures(table)]
 
@@ -132,21 +138,21 @@ class Maintained:
         if shoes is not None or clicks is not None:
             def seen(facts: DataFrame, brands: DataFrame) -> DataFrame:
                 b = brands.groupBy("id", "brand").agg(F.sum("n").alias("_m"))
-                return facts.join(b, facts["product_id"] == b["id"]).select(
+                return _meet(facts, b, facts["product_id"] == b["id"]).select(
                     "user_id", F.col("product_id").alias("shoes_id"), "brand", *_times(facts, F.col("_m"), "clicks"))
 
             add("intent_clicks", seen(d_clicks, after("shoes")).unionAll(seen(before("clicks"), d_shoes)))
         if shoes is not None or orders is not None:
             def bought(facts: DataFrame, ids: DataFrame) -> DataFrame:
                 m = ids.groupBy("id").agg(F.sum("n").alias("_m"))
-                return facts.join(m, facts["product_id"] == m["id"]).select(
+                return _meet(facts, m, facts["product_id"] == m["id"]).select(
                     "customer_id", F.col("product_id").alias("shoes_id"), (F.col("n") * F.col("_m")).alias("n"))
 
             add("intent_buys", bought(d_orders, after("shoes")).unionAll(bought(before("orders"), d_shoes)))
 
             def sold(facts: DataFrame, offers: DataFrame) -> DataFrame:
                 per = facts.groupBy("product_id").agg(F.sum("n").alias("_n"))
-                return per.join(offers, per["product_id"] == offers["id"]).select(
+                return _meet(per, offers, per["product_id"] == offers["id"]).select(
                     F.col("id").alias("shoes_id"), "brand", "sale_price", "rating", (F.col("_n") * F.col("n")).alias("n"))
 
             add("sold", sold(d_orders, after("shoes")).unionAll(sold(before("orders"), d_shoes)))
@@ -164,25 +170,25 @@ class Maintained:
     def _weighed(facts: DataFrame, customers: DataFrame) -> DataFrame:
         """Orders times their customers' rows; an unknown customer counts once (a left join)."""
         m = customers.select(F.col("id").alias("_c"), F.col("n").alias("_m"))
-        return facts.join(m, facts["customer_id"] == F.col("_c"), "left").select(
+        return _meet(facts, m, facts["customer_id"] == F.col("_c"), "left").select(
             "product_id", (F.col("n") * F.coalesce("_m", F.lit(1))).alias("n"))
 
     @staticmethod
     def _reweighed(facts: DataFrame, customers: DataFrame, change: DataFrame) -> DataFrame:
         """What earlier orders gain where the number of their customer's rows changes."""
         old = customers.select(F.col("id").alias("_c"), F.col("n").alias("_old"))
-        step = change.select(F.col("id").alias("_id"), F.col("n").alias("_d")).join(
-            old, F.col("_id") == F.col("_c"), "left")
+        step = _meet(change.select(F.col("id").alias("_id"), F.col("n").alias("_d")), old,
+                     F.col("_id") == F.col("_c"), "left")
         before = F.coalesce("_old", F.lit(0))
         step = step.select("_id", (F.greatest(before + F.col("_d"), F.lit(1)) - F.greatest(before, F.lit(1))).alias("_m"))
-        return facts.join(step, facts["customer_id"] == F.col("_id")).select(
+        return _meet(facts, step, facts["customer_id"] == F.col("_id")).select(
             "product_id", (F.col("n") * F.col("_m")).alias("n"))
 
     @staticmethod
     def _placed(weights: DataFrame, shoes: DataFrame) -> DataFrame:
         """Weights by the shoes' rows; what has no shoe goes to the all-NULL row."""
         s = shoes.withColumnRenamed("n", "_m")
-        return weights.join(s, weights["product_id"] == s["id"], "left").select(
+        return _meet(weights, s, weights["product_id"] == s["id"], "left").select(
             F.col("id").alias("shoes_id"), "brand", "name", "sale_price", "rating",
             (F.col("n") * F.coalesce("_m", F.lit(1))).alias("n"))
 
@@ -190,8 +196,8 @@ class Maintained:
     def _replaced(cls, weights: DataFrame, shoes: DataFrame, change: DataFrame) -> DataFrame:
         """What earlier weights move between rows where their shoe's rows change, or appear, or go."""
         ids = change.select("id").distinct()
-        moved = weights.join(ids, weights["product_id"] == ids["id"], "left_semi")
-        old = shoes.join(ids, "id", "left_semi")
+        moved = _meet(weights, ids, weights["product_id"] == ids["id"], "left_semi")
+        old = _meet(shoes, ids, "id", "left_semi")
         new = _summed(old.unionByName(change), "shoes")
         gone = cls._placed(moved, old)
         return gone.withColumn("n", -F.col("n")).unionAll(cls._placed(moved, new))
@@ -203,8 +209,8 @@ class Maintained:
         clicked, bought = self.table("intent_clicks"), self.table("intent_buys")
         bought = bought.select("customer_id", F.col("shoes_id").alias("_pid"), F.col("n").alias("_buy"))
         # a pair whose clicks cancel out has no row, whatever its other sums
-        return clicked.filter("n > 0").join(
-            bought, (F.col("user_id") == F.col("customer_id")) & (F.col("shoes_id") == F.col("_pid")), "left").select(
+        return _meet(clicked.filter("n > 0"), bought, (F.col("user_id") == F.col("customer_id")) & (
+            F.col("shoes_id") == F.col("_pid")), "left").select(
             "user_id", "shoes_id", "brand", F.try_divide(F.col("viewed").cast("double"), F.col("timed")).alias("avg_view_time"),
             F.when(F.col("timed") > 0, F.col("viewed")).alias("total_view_time"), F.col("n").alias("click_count"),
             F.coalesce("_buy", F.lit(0)).alias("buy_count"))

@@ -65,3 +65,22 @@ def test_after_each_change_batch_equal_to_the_full_query(spark, scratch):
             gold.top_sellers_all_time(full["orders"], full["customers"], full["shoes"])), number
     slices = kept._state()[1]
     assert max(sum(s.startswith("orders/") for s in slices) for _ in [0]) <= 5  # folded on the way
+
+
+def test_no_side_of_a_join_goes_through_the_driver(spark, scratch, monkeypatch):
+    kept, plans, write = Maintained(spark, os.path.join(scratch, "kept")), [], Maintained._write
+
+    def noted(self, rows, table):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return write(self, rows, table)
+
+    monkeypatch.setattr(Maintained, "_write", noted)
+    for number in range(2):  # the second one meets what the first one left
+        kept.commit(number, **{name: rows.withColumn("_sign", F.lit(1)) for name, rows in dict(
+            orders=h.orders(spark, [(number, "1", "u", h.at(1)), (9, None, None, h.at(2))]),
+            clicks=h.clicks(spark, [("1", "u", 3, h.at(1))]), shoes=h.shoes(spark, [("1", "AB"[number])]),
+            customers=h.customers(spark, ["u"])).items()})
+    plans.append(kept.intent_history()._jdf.queryExecution().executedPlan().toString())
+    assert sum("SortMergeJoin" in p for p in plans) >= 9
+    assert not [p for p in plans if "BroadcastExchange" in p]
+    assert rows_of(kept.top_sellers()) == [("A", 4.0, 100, "1", 2), ("B", 4.0, 100, "1", 2)]
