@@ -32,9 +32,13 @@ _FRAME = 1 << 16  # bytes of a plane in one zstandard frame
 def _planes(ids: np.ndarray, bits: int) -> list[np.ndarray]:
     planes = []
     for b in range(bits - 1, -1, -1):
-        one = (ids >> b) & 1 == 1
-        planes.append(np.packbits(one, bitorder="little"))
-        ids = np.concatenate([ids[~one], ids[one]])
+        plane = np.packbits(ids & ids.dtype.type(1 << b) != 0, bitorder="little")
+        planes.append(plane)
+        if b:  # a packed plane is an Arrow mask as it is
+            zero, one = (pa.BooleanArray.from_buffers(pa.bool_(), len(ids), [None, pa.py_buffer(p)])
+                         for p in (~plane, plane))
+            values = pa.array(ids)
+            ids = np.concatenate([values.filter(zero).to_numpy(), values.filter(one).to_numpy()])
     return planes
 
 
@@ -176,8 +180,9 @@ class WaveletShard:
             one = self._plane(k)
             zeros = self.n_tokens - int(np.count_nonzero(one))
             above = np.empty_like(ids)
-            above[~one] = ids[:zeros]
-            above[one] = ids[zeros:] | dtype(1 << (self.bits - 1 - k))
+            # positions, as numpy's masks are slow where zeros and ones mix
+            above[np.flatnonzero(~one)] = ids[:zeros]
+            above[np.flatnonzero(one)] = ids[zeros:] | dtype(1 << (self.bits - 1 - k))
             ids = above
         return ids
 

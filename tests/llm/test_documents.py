@@ -260,6 +260,21 @@ def test_wavelet_rows_of_one_id_lie_in_several_files(spark):
     assert sum(r.documents for r in made) == 600 and len({r.shard >> 20 for r in made}) >= 4
 
 
+def test_wavelet_planes_order_ids_by_the_bits_above():
+    rng = np.random.default_rng(4)
+    for dtype, bits in (("<u2", 16), ("<u4", 17), ("<i8", 3), ("<u2", 1)):
+        for n in (0, 1, 7, 8, 9, 1000, 4097):
+            ids = rng.integers(0, 1 << bits, n).astype(dtype)
+            want, order = [], ids.tolist()
+            for b in range(bits - 1, -1, -1):
+                want.append([i >> b & 1 for i in order])
+                order.sort(key=lambda i: i >> b & 1)
+            got = wavelet._planes(ids, bits)
+            assert [np.unpackbits(p, count=n, bitorder="little").tolist() for p in got] == want, (dtype, n)
+            if n:
+                assert wavelet.WaveletShard(wavelet.dump([1], [n], ids)).decode().tolist() == ids.tolist()
+
+
 def test_wavelet_access_unpacks_one_frame_of_a_plane(monkeypatch):
     monkeypatch.setattr(wavelet, "_FRAME", 64)
     ids = np.random.default_rng(5).integers(0, 1 << 16, 9000).astype(np.uint16)
