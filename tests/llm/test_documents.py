@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from shopflow.llm import exact, langid, mixing, packing, rollups, sharding, simhash, wavelet
-from shopflow.llm.tokens import encoder, vocabulary_path
+from shopflow.llm.tokens import Encoder, encoder, vocabulary_path
 
 
 def texts(docs):
@@ -39,6 +39,41 @@ def test_tokens_equal_the_library_on_whole_texts(docs):
     assert got == reference_ids(rows)
 
 
+def test_encoder_keeps_pieces_in_a_bounded_cache(docs):
+    import pyarrow as pa
+
+    def letters(i):
+        return "".join("abcdefghij"[int(c)] for c in str(i))
+
+    def encoded(model, rows):
+        return [ids[a:b].tolist() for _, ids, off in model.encode(pa.array(rows, pa.string())) for a, b in zip(off[:-1], off[1:])]
+
+    # 200,000 pieces of letters are learned once
+    model, learned = Encoder(vocabulary_path()), []
+    learn = model._learn
+    model._learn = lambda pieces: [learned.append(len(pieces)), learn(pieces)][1]
+    many = [" ".join(letters(i) for i in range(k, k + 1000)) for k in range(0, 200_000, 1000)]
+    first = encoded(model, many)
+    assert sum(learned) == 200_000
+    assert encoded(model, many) == first and sum(learned) == 200_000
+    # pieces that come and go, in chunks of a few rows: digits, signs, letters beyond ASCII and a long one
+    rows = [t for _, t in texts(docs)] + [f"{letters(i % 37)} Ñandú{letters(i % 11)} {'ÿ' * (i % 50)} Æß{i} x.Y-{i % 7}, ©{letters(i)}·"
+                                          for i in range(300)] + ["", None, "a", "long" * 100, "long" * 100]
+    want = reference_ids([(0, t) for t in rows])
+    for cache in (0, 1, 50, 1000):
+        model = Encoder(vocabulary_path(), cache=cache, chunk_bytes=100)
+        assert encoded(model, rows) == want == encoded(model, rows)
+        assert len(model.known) == len(model.size) == len(model.used) <= cache and len(model.flat) == model.size.sum()
+        assert all(len(p.encode()) <= 64 for p in model.known.to_pylist())
+    # ids that don't tell where a piece ends
+    model = Encoder(vocabulary_path())
+    assert model._merged(pa.array([letters(i) + c for i in range(999) for c in "aàéßöøÿ"], pa.large_string())) is not None
+    model.closing[:] = False
+    assert encoded(model, rows) == want
+    model.closing[:] = True
+    assert encoded(model, rows) == want
+
+
 def test_exact_groups(spark, docs, empty):
     rows = texts(docs)
     norm = [re.sub(r"[\x20\x09-\x0D]+", " ", t or "") for _, t in rows]
